@@ -38,7 +38,8 @@ def band_offsets(
 def number_rows(rows: DataFrame, key: str, band: Column, name: str) -> DataFrame:
     """Add ``name``: 1, 2, 3 … in the order of the unique column ``key``.
 
-    ``band`` must not fall as ``key`` rises.
+    ``band`` must not fall as ``key`` rises, and must never be null: the join would add a
+    null test to one of the two readers of ``rows`` only, which then could not share work.
     """
     banded = rows.withColumn(BAND, band)
     offsets = band_offsets(banded, F.lit(1)).select(BAND, BEFORE)

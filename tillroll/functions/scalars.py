@@ -60,9 +60,10 @@ def order_band(value: Column, per_doubling: int = 16) -> Column:
     """An int that never falls as ``value`` rises, with a bounded number of levels.
 
     Bands are logarithmic: every doubling of the magnitude has ``per_doubling`` of them,
-    so doubles of any size fall into fewer than ``5000 * per_doubling`` bands.
+    so doubles of any size fall into fewer than ``5000 * per_doubling`` bands. Never null.
     """
     # Infinity shares the top band; 1100 doublings lift the smallest double above zero.
     magnitude = F.least(F.abs(value.cast("double")), F.lit(1e308))
     level = F.floor(F.log2(magnitude) * per_doubling) + 1100 * per_doubling
-    return F.when(value > 0, level).when(value < 0, -level).otherwise(0).cast("int")
+    band = F.when(value > 0, level).when(value < 0, -level).cast("int")
+    return F.coalesce(band, F.lit(0))

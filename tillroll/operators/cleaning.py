@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import schemas
 from tillroll.functions import scalars
 
 
+def _all(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
 def fix_types(lines: DataFrame) -> DataFrame:
     """Text to typed columns; what cannot be read becomes null in any ANSI mode."""
     return lines.withColumns(
@@ -29,8 +35,18 @@ def remove_duplicates(lines: DataFrame) -> DataFrame:
     return lines.dropDuplicates()
 
 
+def _has_values(lines: DataFrame) -> list[Column]:
+    """One test per critical column, so that each can move to the scan on its own."""
+    tests = []
+    for name in schemas.CRITICAL_COLUMNS:
+        tests.append(F.col(name).isNotNull())
+        if isinstance(lines.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            tests.append(~F.isnan(name))
+    return tests
+
+
 def drop_incomplete(lines: DataFrame) -> DataFrame:
-    return lines.dropna(subset=list(schemas.CRITICAL_COLUMNS))
+    return lines.where(_all(_has_values(lines)))
 
 
 def fill_defaults(lines: DataFrame) -> DataFrame:
@@ -92,13 +108,7 @@ def step_counts(raw: DataFrame) -> DataFrame:
     distinct = typed.groupBy(*(F.col(f"`{c}`") for c in typed.columns)).agg(
         F.count("*").alias("_copies")
     )
-    complete = reduce(
-        lambda a, b: a & b,
-        (
-            F.col(c).isNotNull() & ~F.isnan(c) if c == "Price" else F.col(c).isNotNull()
-            for c in schemas.CRITICAL_COLUMNS
-        ),
-    )
+    complete = _all(_has_values(typed))
     steps = ["remove_duplicates", "drop_incomplete"]
     remaining = [F.sum("_copies"), F.count("*"), F.count_if(complete)]
     passed = complete

@@ -50,17 +50,22 @@ def required_columns(raw: DataFrame) -> DataFrame:
 
 
 def ingest_summary(raw: DataFrame) -> DataFrame:
-    """Size, nulls, repeats, date range as text and countries, from one pass."""
+    """Size, nulls, repeats, date range as text and countries.
+
+    The countries are counted on their own column: in one aggregate with them, the
+    smallest and largest text would make Spark sort the lines by country.
+    """
     nulls = reduce(lambda a, b: a + b, (c.isNull().cast("int") for c in _quoted(raw)))
-    return _distinct_rows(raw).agg(
+    counts = _distinct_rows(raw).agg(
         _or_zero(F.sum("_copies")).alias("total_rows"),
         F.lit(len(raw.columns)).alias("total_columns"),
         _or_zero(F.sum(F.col("_copies") * nulls)).alias("null_values"),
         _or_zero(F.sum(F.col("_copies") - 1)).alias("duplicate_rows"),
         F.min("InvoiceDate").alias("date_min"),
         F.max("InvoiceDate").alias("date_max"),
-        F.count_distinct("Country").alias("countries"),
     )
+    countries = raw.agg(F.count_distinct("Country")).scalar()
+    return counts.select("*", countries.alias("countries"))
 
 
 def profile_shape(raw: DataFrame) -> DataFrame:

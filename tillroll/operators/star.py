@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import schemas
@@ -15,18 +15,38 @@ from tillroll.functions.ordering import number_rows
 WEEKEND = (1, 7)
 
 
+def _first_by_name(lines: DataFrame, key: str, value: str) -> DataFrame:
+    """One row per ``key`` with the smallest ``value``; null only if there is no other.
+
+    ``min`` of a text would sort the lines, and the optimizer drops a distinct step before
+    it. Here distinct pairs, which are found by hashing and are far fewer than the lines,
+    come first, and only they are sorted.
+    """
+    order = Window.partitionBy(key).orderBy(F.asc_nulls_last(value))
+    return (
+        lines.select(key, value)
+        .distinct()
+        .withColumn("_place", F.row_number().over(order))
+        .where(F.col("_place") == 1)
+        .drop("_place")
+    )
+
+
 def dim_customer(cleaned: DataFrame) -> DataFrame:
     """One row per customer, guests included; of several countries the first by name."""
-    return cleaned.groupBy(F.col("Customer ID").alias("customer_id")).agg(
-        F.min("Country").alias("country")
+    lines = cleaned.select(
+        F.col("Customer ID").alias("customer_id"), F.col("Country").alias("country")
     )
+    return _first_by_name(lines, "customer_id", "country")
 
 
 def dim_product(cleaned: DataFrame) -> DataFrame:
     """One row per code; of several descriptions the first by name."""
-    return cleaned.groupBy(F.col("StockCode").alias("stock_code")).agg(
-        F.min("Description").alias("description")
+    lines = cleaned.select(
+        F.col("StockCode").alias("stock_code"),
+        F.col("Description").alias("description"),
     )
+    return _first_by_name(lines, "stock_code", "description")
 
 
 def dim_date(cleaned: DataFrame) -> DataFrame:
@@ -36,7 +56,7 @@ def dim_date(cleaned: DataFrame) -> DataFrame:
     gets more than that at once, whatever the number of sales.
     """
     moments = cleaned.select(F.col("InvoiceDate").alias("full_date")).distinct()
-    day = F.to_date("full_date")
+    day = F.coalesce(F.to_date("full_date"), F.lit("0001-01-01").cast("date"))
     numbered = number_rows(moments, "full_date", day, "date_id")
     weekday = F.dayofweek("full_date")
     return numbered.select(
@@ -54,7 +74,8 @@ def dim_date(cleaned: DataFrame) -> DataFrame:
 def dim_region(cleaned: DataFrame) -> DataFrame:
     """One row per country, numbered by name."""
     countries = cleaned.select(F.col("Country").alias("country")).distinct()
-    numbered = number_rows(countries, "country", F.left("country", F.lit(1)), "region_id")
+    initial = F.coalesce(F.left("country", F.lit(1)), F.lit(""))
+    numbered = number_rows(countries, "country", initial, "region_id")
     return numbered.select(
         "region_id",
         "country",

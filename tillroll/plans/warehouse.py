@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from tillroll import schemas
 from tillroll.operators import star
+from tillroll.sources.tables import append_jdbc
 
 Store = Callable[[DataFrame, str], DataFrame]
 
@@ -25,3 +27,12 @@ def build_star(cleaned: DataFrame, store: Store) -> dict[str, DataFrame]:
     fact = star.fact_sales(cleaned, tables["dim_date"], tables["dim_region"])
     tables["fact_sales"] = store(star.with_sale_ids(fact), "fact_sales")
     return tables
+
+
+def append_to_database(
+    tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str]
+) -> None:
+    """Append the star schema to a database that has its tables, dimensions first because
+    the fact refers to them."""
+    for name in schemas.STAR_SCHEMAS:
+        append_jdbc(tables[name], url, name, properties)

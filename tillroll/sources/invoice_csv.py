@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -23,6 +24,11 @@ class MissingColumnsError(ValueError):
     """An input file lacks required columns."""
 
 
+def _key(file: str) -> str:
+    """Spark writes the same file as ``file:///x`` or ``file:/x``, with escapes."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(file))
+
+
 def find_csv(spark: SparkSession, path: str) -> list[str]:
     """The CSV files at a path, folder or glob. Raises when there are none."""
     listing = spark.read.format("text").option("pathGlobFilter", "*.csv")
@@ -70,7 +76,7 @@ def _unusual_files(spark: SparkSession, files: Sequence[str]) -> dict[str, Row]:
         .where(F.col("line_breaks") | ~F.col("same_header"))
         .collect()
     )
-    return {unquote(row.file): row for row in rows}
+    return {_key(row.file): row for row in rows}
 
 
 def _scan(spark: SparkSession, files: Sequence[str], multi_line: bool) -> DataFrame:
@@ -99,7 +105,7 @@ def read_lines(
     unusual = _unusual_files(spark, files)
     groups: dict[tuple[str, bool], list[str]] = defaultdict(list)
     for file in files:
-        row = unusual.get(file)
+        row = unusual.get(_key(file))
         whole = bool(row and row.line_breaks) if multi_line is None else multi_line
         header_from = files[0] if row is None or row.same_header else file
         groups[header_from, whole].append(file)

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.sources.tables import write_table
+
 _local_area: tempfile.TemporaryDirectory | None = None
 
 
@@ -34,7 +36,4 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and return that table."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_table(df, new_folder(df.sparkSession, name))

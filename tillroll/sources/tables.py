@@ -17,9 +17,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     With ``partition_by`` the rows are first brought together by these columns, and a value
     with very many rows is spread over several tasks and files.
     """
-    writer = df.hint("rebalance", *partition_by) if partition_by else df
-    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.select(*(f"`{name}`" for name in df.columns))
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
