@@ -68,6 +68,16 @@ def test_rank_with_ties_and_one_large_group(spark):
         assert row.r == larger + 1
 
 
+def test_rank_keeps_nulls_and_a_value_shared_by_most_rows(spark):
+    rows = [("a", 5.0)] * 500 + [("a", 7.0), ("a", -1.0), ("a", None), (None, 2.0), (None, 2.0)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    found = sorted((r.g or "", r.v or 0, r.r) for r in rank_within(frame, "g", "v", "r").collect())
+    assert found == sorted(
+        [("a", 5.0, 2)] * 500
+        + [("a", 7.0, 1), ("a", -1.0, 502), ("a", 0, 503), ("", 2.0, 1), ("", 2.0, 1)]
+    )
+
+
 def test_numbers_follow_the_key(spark):
     words = sorted({f"{c}{i}" for c in "abxyZ" for i in range(40)} | {""})
     frame = spark.createDataFrame([(w,) for w in words], "w string").repartition(5)

@@ -88,8 +88,42 @@ def test_top_products_sort_only_what_they_keep(raw):
 
 def test_rank_does_not_sort_a_country_in_one_task(raw):
     text = plan(aggregates.rank_products(cleaning.clean(raw)), "simple")
-    windows = re.findall(r"Window \[rank.*?\], \[(.*?)\]", text)
-    assert windows and all("_band" in keys for keys in windows)
+    windows = re.findall(r"Window \[.*?ROWS|Window \[sum.*?\], \[(.*?)\]", text)
+    assert sum("_band" in keys for keys in windows) == 1
+    assert "rank(" not in text
+
+
+def test_a_moment_with_a_third_of_all_sales_is_split(spark, raw):
+    cleaned = stage(
+        cleaning.clean(raw).withColumn(
+            "InvoiceDate",
+            F.when(F.hash("Invoice", "StockCode") % 3 == 0, F.lit("2010-01-01 00:00:00"))
+            .otherwise(F.col("InvoiceDate").cast("string"))
+            .cast("timestamp_ntz"),
+        ).repartition(16),
+        "skewed",
+    )
+    dates = stage(star.dim_date(cleaned), "dim_date")
+    regions = stage(star.dim_region(cleaned), "dim_region")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        fact = star.fact_sales(cleaned, dates, regions)
+        rows = fact.collect()
+        text = plan(fact, "simple")
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in text
+    assert len(rows) == cleaned.count()
 
 
 def test_small_dimension_is_broadcast_and_large_one_is_not(spark, raw):

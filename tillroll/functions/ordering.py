@@ -8,6 +8,7 @@ how much lies in the bands before it; the sort itself runs band by band, in para
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,22 +52,40 @@ def number_rows(rows: DataFrame, key: str, band: Column, name: str) -> DataFrame
     )
 
 
+def _join_null_safe(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed = other.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = reduce(
+        lambda a, b: a & b,
+        (F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys),
+    )
+    return rows.join(renamed, same).drop(*(f"_right_{key}" for key in keys))
+
+
 def rank_within(rows: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Add ``name``: the rank of ``value``, highest first, inside each ``group``.
 
-    Ties share a rank and leave a gap, as ``rank()`` does; equal values share a band, so
-    this holds across bands. A group that holds most of the rows is sorted by many tasks.
+    Ties share a rank and leave a gap, as ``rank()`` does. The different values of a group
+    are ranked, each with the number of rows that have it, and the rows look their rank up.
+    So neither a group with most of the rows nor a value shared by very many of them comes
+    to a single sort; the lookup is a join, where such a key is split.
     """
-    banded = rows.withColumn(BAND, order_band(F.col(value)))
-    offsets = band_offsets(banded, F.lit(1), [group], descending=True).select(
+    counts = rows.groupBy(group, value).agg(F.count("*").alias("_n"))
+    # Null comes after all values, as it does in a descending sort.
+    last = F.when(F.col(value).isNull(), F.lit(-1_000_000))
+    banded = counts.withColumn(BAND, F.coalesce(last, order_band(F.col(value))))
+    offsets = band_offsets(banded, F.col("_n"), [group], descending=True).select(
         group, BAND, BEFORE
     )
-    inside = F.rank().over(Window.partitionBy(group, BAND).orderBy(F.desc(value)))
-    return (
-        banded.join(offsets, [group, BAND])
-        .withColumn(name, (F.col(BEFORE) + inside).cast("int"))
-        .drop(BAND, BEFORE)
+    higher = (
+        Window.partitionBy(group, BAND)
+        .orderBy(F.desc(value))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    place = F.col(BEFORE) + F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1
+    ranks = _join_null_safe(banded, offsets, [group, BAND]).select(
+        group, value, place.cast("int").alias(name)
     )
+    return _join_null_safe(rows, ranks, [group, value])
 
 
 def quantiles(counts: DataFrame, points: Mapping[str, float]) -> DataFrame:
