@@ -72,7 +72,7 @@ def executed_scans(df):
         lambda raw: aggregates.rank_products(cleaning.clean(raw)),
         lambda raw: star.dim_date(cleaning.clean(raw)),
         lambda raw: star.dim_region(cleaning.clean(raw)),
-        cleaning.step_counts,
+        lambda raw: cleaning.step_counts(cleaning.distinct_lines(raw)),
     ],
 )
 def test_lines_are_read_once(raw, step):

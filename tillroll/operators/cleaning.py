@@ -13,6 +13,9 @@ from tillroll import schemas
 from tillroll.functions import scalars
 
 
+COPIES = "_copies"
+
+
 def _all(tests: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
@@ -89,28 +92,36 @@ def add_derived(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """The whole chain. Types come first so that equal values count as duplicates however
-    they were written; the optimizer moves the filters below the distinct step again."""
+def clean_distinct(distinct: DataFrame) -> DataFrame:
+    """The steps after the duplicates are gone. None of them shuffles."""
     return (
-        raw.transform(fix_types)
-        .transform(remove_duplicates)
-        .transform(drop_incomplete)
+        distinct.transform(drop_incomplete)
         .transform(fill_defaults)
         .transform(keep_sales)
         .transform(add_derived)
     )
 
 
-def step_counts(raw: DataFrame) -> DataFrame:
-    """Rows going in and coming out of each row-removing step, from one pass."""
+def clean(raw: DataFrame) -> DataFrame:
+    """The whole chain. Types come first so that equal values count as duplicates however
+    they were written; the optimizer moves the filters below the distinct step again."""
+    return raw.transform(fix_types).transform(remove_duplicates).transform(clean_distinct)
+
+
+def distinct_lines(raw: DataFrame) -> DataFrame:
+    """Typed lines without duplicates and, in ``_copies``, how often each was there."""
     typed = fix_types(raw)
-    distinct = typed.groupBy(*(F.col(f"`{c}`") for c in typed.columns)).agg(
-        F.count("*").alias("_copies")
+    return typed.groupBy(*(F.col(f"`{c}`") for c in typed.columns)).agg(
+        F.count("*").alias(COPIES)
     )
-    complete = _all(_has_values(typed))
+
+
+def step_counts(distinct: DataFrame) -> DataFrame:
+    """Rows going in and coming out of each row-removing step, from one pass over
+    ``distinct_lines``."""
+    complete = _all(_has_values(distinct))
     steps = ["remove_duplicates", "drop_incomplete"]
-    remaining = [F.sum("_copies"), F.count("*"), F.count_if(complete)]
+    remaining = [F.sum(COPIES), F.count("*"), F.count_if(complete)]
     passed = complete
     for name, test in _sale_tests():
         passed = passed & test

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -74,12 +75,18 @@ def profile_shape(raw: DataFrame) -> DataFrame:
         F.lit(len(raw.columns)).alias("total_columns"),
         _or_zero(F.sum(F.col("_copies") - 1)).alias("duplicate_rows"),
     )
+    return shape_of(counts, raw.columns)
+
+
+def shape_of(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The shape from counts already taken, by ``ingest_summary`` for one."""
+    duplicates, total = F.col("duplicate_rows"), F.col("total_rows")
     return counts.select(
-        "*",
-        scalars.percent(F.col("duplicate_rows"), F.col("total_rows")).alias(
-            "duplicate_pct"
-        ),
-        F.lit(",".join(raw.columns)).alias("columns"),
+        "total_rows",
+        "total_columns",
+        "duplicate_rows",
+        scalars.percent(duplicates, total).alias("duplicate_pct"),
+        F.lit(",".join(columns)).alias("columns"),
     )
 
 
@@ -196,8 +203,12 @@ def top_countries(raw: DataFrame, limit: int = TOP_COUNTRIES) -> DataFrame:
     )
 
 
-def profile_report(raw: DataFrame) -> DataFrame:
-    """All sections as one row of nested columns, for the JSON sink."""
+def profile_report(raw: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """All sections as one row of nested columns, for the JSON sink.
+
+    With a stored ``ingest_summary`` the lines are not compared a second time.
+    """
+    shape = profile_shape(raw) if summary is None else shape_of(summary, raw.columns)
 
     def one_row(section: DataFrame) -> Column:
         return section.select(F.struct("*")).scalar()
@@ -209,7 +220,7 @@ def profile_report(raw: DataFrame) -> DataFrame:
     spark = raw.sparkSession
     return spark.range(1).select(
         F.current_timestamp().alias("profiled_at"),
-        one_row(profile_shape(raw)).alias("shape"),
+        one_row(shape).alias("shape"),
         row_list(profile_nulls(raw)).alias("nulls"),
         one_row(profile_cancellations(raw)).alias("cancellations"),
         one_row(profile_quantity(raw)).alias("quantity"),

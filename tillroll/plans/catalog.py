@@ -95,7 +95,9 @@ QUERIES: dict[str, Query] = {
     "fill_nulls": _on_typed(cleaning.fill_defaults),
     "filter_bad_data": _on_typed(cleaning.keep_sales),
     "derived_columns": _on_typed(cleaning.add_derived),
-    "step_counts": _on_raw(cleaning.step_counts),
+    "step_counts": _on_raw(
+        lambda raw: cleaning.step_counts(cleaning.distinct_lines(raw))
+    ),
     "cleaned": _on_raw(cleaning.clean),
     # Aggregates
     "monthly": _on_cleaned(aggregates.monthly),

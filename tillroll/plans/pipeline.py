@@ -20,21 +20,24 @@ AGGREGATES = {
 
 
 def ingest(spark: SparkSession, source: str, out: str) -> DataFrame:
-    raw = write_table(read_lines(spark, source), f"{out}/retail_raw")
-    write_report_csv(profiling.ingest_summary(raw), f"{out}/ingest_summary")
-    return raw
+    return write_table(read_lines(spark, source), f"{out}/retail_raw")
 
 
 def profile(raw: DataFrame, out: str) -> None:
-    write_report_json(profiling.profile_report(raw), f"{out}/data_profile_report")
+    summary = write_table(profiling.ingest_summary(raw), f"{out}/ingest_summary")
+    report = profiling.profile_report(raw, summary)
+    write_report_json(report, f"{out}/data_profile_report")
 
 
 def transform(raw: DataFrame, out: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Every later step reads the stored lines, so duplicates are removed only once."""
-    cleaned = write_table(cleaning.clean(raw), f"{out}/retail_cleaned", partition_by)
+    """Duplicates are removed once. The distinct lines are stored, because both the
+    cleaned table and the counts per step come from them."""
+    distinct = write_table(cleaning.distinct_lines(raw), f"{out}/retail_distinct")
+    lines = cleaning.clean_distinct(distinct.drop(cleaning.COPIES))
+    cleaned = write_table(lines, f"{out}/retail_cleaned", partition_by)
+    write_report_csv(cleaning.step_counts(distinct), f"{out}/cleaning_steps")
     for name, build in AGGREGATES.items():
         write_table(build(cleaned), f"{out}/{name}")
-    write_report_csv(cleaning.step_counts(raw), f"{out}/cleaning_steps")
     return cleaned
 
 
