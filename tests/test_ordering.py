@@ -58,7 +58,7 @@ def test_rank_with_ties_and_one_large_group(spark):
     source = random.Random(3)
     rows = [
         (source.choice(["a"] * 8 + ["b", "c"]), f"p{i}", source.randint(1, 400) / 100)
-        for i in range(3000)
+        for i in range(900)
     ]
     frame = spark.createDataFrame(rows, "g string, p string, v double").withColumn(
         "v", F.col("v").cast("decimal(28,2)")

@@ -54,7 +54,14 @@ def test_reports_are_one_csv_with_header(spark, out, name):
     key = {"dash_monthly": "month_year", "dash_top_products": "stock_code",
            "dash_by_country": "region_group"}[name]
     assert key in header
-    assert spark.read.csv(str(file), header=True).count() > 0
+    rows = spark.read.csv(str(file), header=True).collect()
+    assert rows
+    if name == "dash_monthly":
+        months = [row.month_year for row in rows]
+        assert months == sorted(months)
+    else:
+        revenue = [float(row.total_revenue) for row in rows]
+        assert revenue == sorted(revenue, reverse=True)
 
 
 def test_profile_report(out):

@@ -15,6 +15,8 @@ _regions = " ".join(
     for group, names in schemas.REGION_GROUPS.items()
 )
 
+# All rows of the tables are in ``sent``; ``raw`` has some of them twice. The defects go by
+# key so that both engines plant them on the same lines; no part leaves rows out by key.
 PARTS = {
     "sent": f"""
         SELECT CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || l_orderkey AS "Invoice",

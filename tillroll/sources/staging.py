@@ -19,10 +19,11 @@ _local_area: tempfile.TemporaryDirectory | None = None
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; on a local master without one, a new one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     global _local_area
     if _local_area is None:
