@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import line_dedup, mixing, url_filters
+from tillroll.llm import jaccard_join, line_dedup, mixing, token_output, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.op2_url_filters,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op7_mixing": mixing.op7_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_token_output": token_output.op9_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {

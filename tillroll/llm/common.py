@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import string
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,27 @@ WHITE = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once for each application.
+
+    Workers cannot import what only the driver's ``sys.path`` shows. Spark copies the archive
+    to every executor, those that come later too.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="tillroll-code-")) / "tillroll.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted((root / "tillroll").rglob("*.py")):
+            packed.write(file, file.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
