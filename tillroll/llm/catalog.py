@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import jaccard_join, line_dedup, mixing, token_output, url_filters
+from tillroll.llm import (
+    decontamination,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    token_output,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": decontamination.op1_decontamination,
     "op2_url_filters": url_filters.op2_url_filters,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op7_mixing": mixing.op7_mixing,
@@ -17,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": decontamination.OP1_SQL,
     "op2_url_filters": url_filters.OP2_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
 }
