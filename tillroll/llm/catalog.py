@@ -12,6 +12,7 @@ from tillroll.llm import (
     line_dedup,
     mixing,
     token_output,
+    topk_search,
     url_filters,
 )
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_url_filters": url_filters.op2_url_filters,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op6_topk_search": topk_search.op6_topk_search,
     "op7_mixing": mixing.op7_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_output": token_output.op9_token_output,
@@ -27,5 +29,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": decontamination.OP1_SQL,
     "op2_url_filters": url_filters.OP2_SQL,
+    "op6_topk_search": topk_search.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
 }
