@@ -11,6 +11,7 @@ from tillroll.llm import (
     jaccard_join,
     line_dedup,
     mixing,
+    quality,
     token_output,
     topk_search,
     url_filters,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": mixing.op7_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_output": token_output.op9_token_output,
+    "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
