@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.llm import (
     decontamination,
     jaccard_join,
+    language_id,
     line_dedup,
     mixing,
     quality,
@@ -20,6 +21,7 @@ from tillroll.llm import (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_url_filters": url_filters.op2_url_filters,
+    "op3_language_id": language_id.op3_language_id,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op6_topk_search": topk_search.op6_topk_search,
     "op7_mixing": mixing.op7_mixing,
