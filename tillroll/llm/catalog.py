@@ -10,6 +10,7 @@ from tillroll.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    language_model,
     line_dedup,
     mixing,
     quality,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": url_filters.op2_url_filters,
     "op3_language_id": language_id.op3_language_id,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op5_lm_scoring": language_model.op5_lm_scoring,
     "op6_topk_search": topk_search.op6_topk_search,
     "op7_mixing": mixing.op7_mixing,
     "op8_line_dedup": line_dedup.op8_line_dedup,

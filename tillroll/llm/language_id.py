@@ -36,7 +36,7 @@ FOLDS, HELD_OUT = 3, 1
 WINDOW, WINDOWS, PER_LANGUAGE = 64, 6, 256
 STATES, STEPS, BATCH, RATE = 8, 220, 192, 0.02
 #: Windows that go through the network together.
-TOGETHER = 4096
+TOGETHER = 2048
 
 
 @dataclass
