@@ -230,12 +230,16 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | N
     return fit(windows, sizes, labels, names)
 
 
-def identify(documents: DataFrame, net: Network | None) -> DataFrame:
-    """The rows of ``documents`` with lang_pred and score."""
+def identify(
+    documents: DataFrame, net: Network | None, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The rows of ``documents`` with the predicted language and its probability under
+    ``names``."""
+    predicted, score = names
     ship(documents.sparkSession)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if net is None:
-        return documents.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return documents.withColumns({predicted: F.lit(UNKNOWN), score: F.lit(0.0)})
 
     @F.pandas_udf("place int, score double")
     def label(texts):
@@ -250,12 +254,12 @@ def identify(documents: DataFrame, net: Network | None) -> DataFrame:
             {"place": np.concatenate([[], *places]).astype("int32"), "score": np.concatenate([[], *scores])}
         )
 
-    names = F.array(*map(F.lit, net.names))
+    languages = F.array(*map(F.lit, net.names))
     found = documents.withColumn("_label", label(F.col("text")))
     return found.withColumns(
         {
-            "lang_pred": F.when(lettered, F.get(names, F.col("_label.place"))).otherwise(UNKNOWN),
-            "score": F.when(lettered, F.col("_label.score")).otherwise(0.0),
+            predicted: F.when(lettered, F.get(languages, F.col("_label.place"))).otherwise(UNKNOWN),
+            score: F.when(lettered, F.col("_label.score")).otherwise(0.0),
         }
     ).drop("_label")
 

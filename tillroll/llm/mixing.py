@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_broadcast, forget, store, table, word_count
+from tillroll.llm.common import bounded_broadcast, store, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -77,53 +77,67 @@ def apportion(
     """Sainte-Laguë in every group: ``name`` is the number of ``seats`` a claim wins.
 
     The highest quotients ``weight / (2k + 1)`` win, no claim more than ``most``. Quotients
-    that are sure to win are counted, not listed: at the quotient ``sum(weight) / (2 * seats -
-    claims)`` all winners above it number at least ``seats - claims``. Only what may win
-    the rest is listed, about three quotients for a claim, and sorted.
+    that are sure to win are counted, not listed: of m claims with the weights W, those above
+    the quotient ``W / (2 * seats - m)`` are at least ``seats - m`` and never too many. A claim
+    that has all it may win this way is closed and the others share the rest, until none is
+    closed any more. Only what may win the last m seats is listed, about three quotients for a
+    claim, and sorted.
     """
     all_of = W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
-    total, claimants = F.sum(weight).over(all_of), F.count(F.lit(1)).over(all_of)
-    sure_at = total / F.greatest(2.0 * F.col(seats) - claimants, F.lit(1.0))
-    sure = F.floor((F.col(weight) / sure_at + 1) / 2)
-    counted = (
-        claims.withColumn("_claim", F.monotonically_increasing_id())
-        .withColumn("_total", total)
-        .withColumn("_claimants", claimants)
-        .withColumn("_sure", sure)
-    )
-    counted = counted.withColumn(
-        "_sure",
-        F.when(2.0 * F.col(seats) - F.col("_claimants") < 1, F.lit(0))
-        .when(F.col("_total") > 0, F.least("_sure", most, seats))
-        .otherwise(0)
-        .cast("long"),
+    state = store(
+        claims.withColumn("_claim", F.monotonically_increasing_id()).withColumn(
+            "_closed", F.lit(False)
+        ),
+        "claims",
     )
-    counted = store(counted, "claims")
+    while True:
+        opened = F.when(~F.col("_closed"), F.col(weight))
+        left = F.col(seats) - F.coalesce(
+            F.sum(F.when(F.col("_closed"), F.col(most))).over(all_of), F.lit(0)
+        )
+        counted = (
+            state.withColumn("_left", left)
+            .withColumn("_weights", F.sum(opened).over(all_of))
+            .withColumn("_open", F.count(opened).over(all_of))
+        )
+        spread = 2.0 * F.col("_left") - F.col("_open")
+        sure = F.floor((F.col(weight) * spread / F.col("_weights") + 1) / 2)
+        counted = counted.withColumn(
+            "_sure",
+            F.when(F.col("_closed"), F.col(most))
+            .when((spread >= 1) & (F.col("_weights") > 0), sure)
+            .otherwise(0)
+            .cast("long"),
+        )
+        full = ~F.col("_closed") & (F.col("_sure") >= F.col(most))
+        state = store(
+            counted.withColumn("_closes", full).withColumn("_closed", F.col("_closed") | full),
+            "claims",
+        )
+        if state.where("_closes").isEmpty():
+            break
+        state = state.drop("_left", "_weights", "_open", "_sure", "_closes")
     rest = F.col(seats) - F.sum("_sure").over(all_of)
-    share = F.when(F.col("_total") > 0, F.col(weight) / F.col("_total")).otherwise(0.0)
-    width = F.ceil(share * F.greatest(F.col("_claimants"), F.col("_rest"))) + 1
+    width = F.ceil(F.col(weight) / F.col("_weights") * F.greatest("_open", "_rest")) + 1
     last = F.least(F.col("_sure") + width, F.col(most)) - 1
     listed = (
-        counted.withColumn("_rest", rest)
-        .where(F.col(weight) > 0)
+        state.withColumn("_rest", rest)
+        .where(~F.col("_closed") & (F.col(weight) > 0))
         .where(last >= F.col("_sure"))
         .select(
             *group, "_claim", weight, "_rest", F.explode(F.sequence("_sure", last)).alias("_k")
         )
     )
-    best = (W.partitionBy(*group) if group else W.partitionBy(F.lit(1))).orderBy(
-        F.desc(F.col(weight) / (2 * F.col("_k") + 1)), "_claim", "_k"
-    )
+    best = all_of.orderBy(F.desc(F.col(weight) / (2 * F.col("_k") + 1)), "_claim", "_k")
     won = (
         listed.withColumn("_place", F.row_number().over(best))
         .where(F.col("_place") <= F.col("_rest"))
         .groupBy("_claim")
         .agg(F.count(F.lit(1)).alias("_won"))
     )
-    result = counted.join(won, "_claim", "left").select(
+    return state.join(won, "_claim", "left").select(
         *claims.columns, (F.col("_sure") + F.coalesce("_won", F.lit(0))).alias(name)
     )
-    return result
 
 
 def block_words(smallest_target: float) -> int:
