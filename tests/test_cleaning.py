@@ -52,7 +52,10 @@ def test_line_without_a_critical_value_goes(spark, name):
         {"Quantity": "0"},
         {"Quantity": "-3"},
         {"Quantity": "x10"},
-        {"Quantity": "99999999999"},
+        {"Quantity": "99999999999999999999"},
+        {"Quantity": "10F"},
+        {"Price": "0x1p3"},
+        {"Price": "7f"},
         {"Price": "0.009"},
         {"Price": "NaN"},
         {"Price": "cheap"},
@@ -93,11 +96,35 @@ def test_revenue_rounds_half_up(spark, quantity, price, revenue):
     assert row.r == Decimal(revenue)
 
 
-def test_revenue_too_large_is_null(spark):
-    row = spark.createDataFrame([(2**31 - 1, 1e9)], "q int, p double").select(
+def test_large_revenue_is_exact(spark):
+    rows = [(2**31 - 1, 1e9), (2_000_000_000, 60_000.0), (3_000_000_000, 0.01)]
+    found = spark.createDataFrame(rows, "q bigint, p double").select(
         scalars.line_revenue(F.col("q"), F.col("p")).alias("r")
-    ).first()
-    assert row.r is None
+    )
+    assert [r.r for r in found.collect()] == [
+        Decimal("2147483647000000000.00"), Decimal("120000000000000.00"), Decimal("30000000.00")
+    ]
+
+
+def test_revenue_is_rounded_once(spark):
+    rows = [(1, 1.00499996), (1, 2.67499995), (100, 0.0000499), (1, 2.675), (3, 0.335)]
+    found = spark.createDataFrame(rows, "q bigint, p double").select(
+        scalars.line_revenue(F.col("q"), F.col("p")).alias("r")
+    )
+    assert [str(r.r) for r in found.collect()] == ["1.00", "2.67", "0.00", "2.68", "1.01"]
+
+
+def test_large_ids_stay_apart(spark):
+    ids = ["2147483648.0", "3000000000.0", "9007199254740993", "12d", "", None]
+    found = spark.createDataFrame([(i,) for i in ids], "i string").select(
+        scalars.to_integer(F.col("i")).alias("i")
+    )
+    assert [r.i for r in found.collect()] == [2**31, 3 * 10**9, 2**53 + 1, None, None, None]
+
+
+def test_too_large_quantity_is_kept_for_the_check(spark):
+    kept = cleaning.clean(frame(spark, line(Quantity="3000000000"))).first()
+    assert kept.Quantity == 3_000_000_000 and kept.Revenue == Decimal("7500000000.00")
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])

@@ -53,10 +53,10 @@ def test_only_files_that_need_it_use_the_multi_line_reader(spark, tmp_path):
     put(tmp_path, "plain.csv", HEADER + "\n1,A,x,1,2010-01-01 8:00:00,1.0,1.0,UK\n")
     path = put(tmp_path, "broken.csv", HEADER + '\n2,B,"x\ny",1,,1.0,1.0,UK\n')
     files = invoice_csv.find_csv(spark, path)
-    unusual = invoice_csv._unusual_files(spark, files)
+    kinds = invoice_csv._kinds(spark, files)
     assert [f.rsplit("/", 1)[1] for f in files] == ["broken.csv", "plain.csv"]
-    assert {f.rsplit("/", 1)[1]: r.line_breaks for f, r in unusual.items()} == {
-        "broken.csv": True
+    assert {k.files[0].rsplit("/", 1)[1]: k.line_breaks for k in kinds} == {
+        "broken.csv": True, "plain.csv": False
     }
     rows = by_invoice(invoice_csv.read_lines(spark, path))
     assert rows["1"].Description == "x" and rows["2"].Description == "x\ny"
@@ -103,3 +103,56 @@ def test_header_only(spark, tmp_path):
     assert quantity.negative == 0 and quantity.p99 is None and quantity["mean"] is None
     assert profiling.top_countries(raw).count() == 0
     assert [r.rows_out for r in cleaning.step_counts(cleaning.distinct_lines(raw)).collect()] == [0] * 5
+
+
+LINE = "1,A,x,1,2010-01-01 8:00:00,1.0,1.0,UK"
+
+
+def test_a_repeated_header_line_does_not_decide_the_columns(spark, tmp_path):
+    put(tmp_path, "a.csv", HEADER + "\n" + LINE + "\n")
+    turned = ",".join(reversed(schemas.RAW_COLUMNS))
+    path = put(tmp_path, "b.csv", f"{turned}\n{HEADER}\nUK,1.0,2.5,2010-01-01 8:00:00,3,y,B,2\n")
+    rows = by_invoice(invoice_csv.read_lines(spark, path))
+    assert rows["2"].Price == "2.5" and rows["2"].StockCode == "B"
+
+
+def test_even_quotes_in_a_field_that_crosses_lines(spark, tmp_path):
+    text = HEADER + '\n1,S5"y,"abc\ndef",5" pipe,,1.0,1.0,UK\n' + LINE.replace("1,", "2,", 1) + "\n"
+    path = put(tmp_path, "a.csv", text)
+    rows = by_invoice(invoice_csv.read_lines(spark, path))
+    assert set(rows) == {"1", "2"} and rows["1"].Description == "abc\ndef"
+
+
+def test_an_inch_mark_leaves_a_file_splittable(spark, tmp_path):
+    path = put(tmp_path, "a.csv", HEADER + '\n1,A,5" pipe,1,,1.0,1.0,UK\n')
+    kinds = invoice_csv._kinds(spark, invoice_csv.find_csv(spark, path))
+    assert [k.line_breaks for k in kinds] == [False]
+    assert by_invoice(invoice_csv.read_lines(spark, path))["1"].Description == '5" pipe'
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_fields_beyond_the_header(spark, tmp_path, multi_line):
+    lines = [LINE.replace("1,", f"{i},", 1) + more for i, more in enumerate(["", ",", ",,junk", ",x"])]
+    quoted = '9,A,"a, b",1,"2010-01-01 8:00:00",1.0,1.0,"U,K"'
+    path = put(tmp_path, "a.csv", "\n".join([HEADER, *lines, quoted, "8,short,x", ""]))
+    read = invoice_csv.read_lines(spark, path, multi_line)
+    assert {r.Invoice for r in read.select("Invoice").collect()} == {"0", "8", "9"}
+    assert read.count() == 3
+    assert by_invoice(read)["9"].Description == "a, b"
+
+
+def test_one_scan_for_each_header(spark, tmp_path):
+    turned = ",".join(reversed(schemas.RAW_COLUMNS))
+    for i in range(30):
+        header = HEADER if i % 2 else turned
+        path = put(tmp_path, f"f{i}.csv", f"{header}\n{LINE}\n")
+    plan = invoice_csv.read_lines(spark, path)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan csv") == 2
+
+
+def test_words_for_missing_values(spark, tmp_path):
+    path = put(tmp_path, "a.csv", HEADER + "\n1,A,NA,1,null,1.0,n/a,UK\n")
+    assert by_invoice(invoice_csv.read_lines(spark, path))["1"].Description == "NA"
+    row = by_invoice(invoice_csv.read_lines(spark, path, missing=invoice_csv.MISSING_WORDS))["1"]
+    assert row.Description is None and row.InvoiceDate is None and row["Customer ID"] is None
+    assert row.Country == "UK"

@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tillroll.functions.ordering import number_rows, quantiles, rank_within
+from tillroll.functions.ordering import BAND, CUTS, number_rows, quantiles, rank_within
 from tillroll.functions.scalars import order_band
 
 POINTS = {"low": 0.01, "median": 0.5, "p99": 0.99, "p999": 0.999, "top": 1.0}
@@ -84,3 +84,23 @@ def test_numbers_follow_the_key(spark):
     numbered = number_rows(frame, "w", F.left("w", F.lit(1)), "n").collect()
     assert [r.w for r in sorted(numbered, key=lambda r: r.n)] == words
     assert sorted(r.n for r in numbered) == list(range(1, len(words) + 1))
+
+
+def test_bands_follow_values_that_lie_close_together(spark):
+    """200,000 revenues within four percent: no task of the sort has more than a small share."""
+    frame = spark.range(200_000).select(
+        F.lit("a").alias("g"), (F.lit(1000) + F.col("id") * 0.0002).alias("v")
+    )
+    ranked = rank_within(frame, "g", "v", "r")
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert BAND in plan
+    cuts = frame.agg(
+        F.percentile_approx("v", [i / CUTS for i in range(1, CUTS)], 10_000).alias("c")
+    ).first().c
+    bands = (
+        frame.withColumn("cuts", F.array(*map(F.lit, cuts)))
+        .groupBy(F.size(F.filter("cuts", lambda c: c <= F.col("v"))).alias("b"))
+        .count()
+    )
+    assert bands.agg(F.max("count")).first()[0] < 200_000 * 3 / CUTS
+    assert ranked.where(F.col("r") != 200_000 - F.round((F.col("v") - 1000) / 0.0002)).count() == 0

@@ -100,4 +100,9 @@ def test_staging_uses_the_named_folder(spark):
 
 def test_shuffle_partitions_grow_with_the_input():
     assert session.shuffle_partitions(0, 8) == 16
-    assert session.shuffle_partitions(100 * 2**40, 4000) == 100 * 2**13
+    assert session.shuffle_partitions(2**40, 400) == 2**13
+    # At 100 TB the pairs of map and reduce tasks stay countable for the driver.
+    partitions = session.shuffle_partitions(100 * 2**40, 4000)
+    splits = 100 * 2**40 / session.split_bytes(100 * 2**40)
+    assert partitions * splits <= 2 * 10**9
+    assert session.split_bytes(2**30) == 128 * 2**20

@@ -96,3 +96,32 @@ def test_report_totals_agree(cleaned, tables):
     one = {(r.year, r.month): r.total_orders for r in by_month.collect()}
     other = {(r.Year, r.Month): r.TotalOrders for r in aggregates.monthly(cleaned).collect()}
     assert one == other
+
+
+@pytest.mark.parametrize(
+    "table, change, rule",
+    [
+        ("dim_customer", lambda t: t.unionByName(t.limit(1)), r"primary_key\(customer_id\)"),
+        ("dim_region", lambda t: t.withColumn("country", F.lit("one")), r"unique\(country\)"),
+        (
+            "fact_sales",
+            lambda t: t.withColumn("sale_id", F.lit(1).cast("bigint")),
+            r"primary_key\(sale_id\)",
+        ),
+        (
+            "fact_sales",
+            lambda t: t.withColumn("date_id", F.lit(-1).cast("bigint")),
+            r"foreign_key\(date_id\)",
+        ),
+        ("fact_sales", lambda t: t.withColumn("invoice", F.repeat(F.lit("9"), F.lit(21))), "width"),
+    ],
+)
+def test_a_broken_rule_stops_the_load(tables, table, change, rule):
+    broken = {**tables, table: change(tables[table])}
+    with pytest.raises(star.LoadError, match=rule):
+        star.enforce_integrity(star.star_integrity(broken))
+
+
+def test_a_missing_column_is_no_table_of_the_star(tables):
+    with pytest.raises(star.LoadError, match="country"):
+        star.conform(tables["dim_customer"].drop("country"), "dim_customer")

@@ -17,6 +17,8 @@ from tillroll.functions.scalars import order_band
 
 BAND = "_band"
 BEFORE = "_before"
+#: Bands of a group when ranks are taken.
+CUTS = 100
 
 
 def band_offsets(
@@ -47,7 +49,7 @@ def number_rows(rows: DataFrame, key: str, band: Column, name: str) -> DataFrame
     inside = F.row_number().over(Window.partitionBy(BAND).orderBy(key))
     return (
         banded.join(offsets, BAND)
-        .withColumn(name, (F.col(BEFORE) + inside).cast("int"))
+        .withColumn(name, (F.col(BEFORE) + inside).cast("bigint"))
         .drop(BAND, BEFORE)
     )
 
@@ -70,9 +72,15 @@ def rank_within(rows: DataFrame, group: str, value: str, name: str) -> DataFrame
     to a single sort; the lookup is a join, where such a key is split.
     """
     counts = rows.groupBy(group, value).agg(F.count("*").alias("_n"))
+    # Bands follow the data: about as many different values of the group in each. A sketch
+    # of bounded size finds the cuts; where they lie does not touch the ranks.
+    shares = F.array(*(F.lit(i / CUTS) for i in range(1, CUTS)))
+    cuts = counts.groupBy(group).agg(F.percentile_approx(value, shares, 10_000).alias("_cuts"))
+    placed = _join_null_safe(counts, cuts, [group])
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
     # Null comes after all values, as it does in a descending sort.
-    last = F.when(F.col(value).isNull(), F.lit(-1_000_000))
-    banded = counts.withColumn(BAND, F.coalesce(last, order_band(F.col(value))))
+    band = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(passed)
+    banded = placed.withColumn(BAND, band).drop("_cuts")
     offsets = band_offsets(banded, F.col("_n"), [group], descending=True).select(
         group, BAND, BEFORE
     )
@@ -83,7 +91,7 @@ def rank_within(rows: DataFrame, group: str, value: str, name: str) -> DataFrame
     )
     place = F.col(BEFORE) + F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1
     ranks = _join_null_safe(banded, offsets, [group, BAND]).select(
-        group, value, place.cast("int").alias(name)
+        group, value, place.cast("bigint").alias(name)
     )
     return _join_null_safe(rows, ranks, [group, value])
 

@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 
 # Fixed value: year-month-day, one or two hour digits, minutes and seconds.
+# Plain numbers only: a cast alone also takes ``12d``, ``7f`` and ``0x1p3``.
+NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}$"
 
 
 def to_number(text: Column) -> Column:
-    """Text as double; null where it is no number (NaN counts as no number)."""
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Text as double; null where it is no number, as are NaN and infinity."""
+    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
 
 
 def to_integer(text: Column) -> Column:
-    """Text as int by way of double, because ids and counts arrive as ``13085.0``."""
-    return text.try_cast("double").try_cast("int")
+    """Text as bigint without its fraction, because ids and counts arrive as ``13085.0``."""
+    whole = text.try_cast("decimal(38,10)").try_cast("bigint")
+    return F.when(text.rlike(NUMBER_SHAPE), whole)
 
 
 def to_wall_clock(text: Column) -> Column:
@@ -31,13 +33,14 @@ def to_wall_clock(text: Column) -> Column:
 
 
 def line_revenue(quantity: Column, price: Column) -> Column:
-    """Quantity times price to the penny, exact.
+    """Quantity times price, rounded half up to the penny once.
 
-    A product beyond 14 integer digits becomes null, which the not-null expectation
-    on Revenue reports; such a line is far outside the quantity and price bounds anyway.
+    The price keeps eight decimals and the product is exact, whatever the quantity. Prices
+    above ten integer digits are multiplied as doubles, so that no size gives null.
     """
-    product = (quantity * price).try_cast("decimal(18,4)")
-    return F.round(product, 2).cast(schemas.MONEY)
+    exact = quantity.cast("decimal(19,0)") * price.try_cast("decimal(18,8)")
+    rough = (quantity * price).try_cast("decimal(38,8)")
+    return F.round(F.coalesce(exact, rough), 2).try_cast(schemas.MONEY)
 
 
 def is_cancelled(invoice: Column) -> Column:

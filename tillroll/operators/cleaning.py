@@ -25,7 +25,7 @@ def fix_types(lines: DataFrame) -> DataFrame:
     return lines.withColumns(
         {
             "Quantity": scalars.to_integer(F.col("Quantity")),
-            "Price": F.col("Price").try_cast("double"),
+            "Price": scalars.to_number(F.col("Price")),
             "Customer ID": scalars.to_integer(F.col("Customer ID")),
             "InvoiceDate": scalars.to_wall_clock(F.col("InvoiceDate")),
         }

@@ -15,7 +15,7 @@ NOT_NULL = "values_not_null"
 BETWEEN = "values_between"
 DISTINCT_BETWEEN = "distinct_count_between"
 
-REVENUE_TOLERANCE = "0.01"
+PENNIES_APART = 1
 
 
 class QualityGateError(RuntimeError):
@@ -127,12 +127,17 @@ def expectations(
 def revenue_integrity(cleaned: DataFrame) -> DataFrame:
     """Lines whose revenue differs from quantity times price by more than a penny.
 
-    Compared as decimals: in doubles, 0.13 − 0.12 is more than 0.01.
+    Counted in whole numbers, not as the revenue itself was made: the price in units of
+    10^-8, the product and the revenue in pennies. A product without revenue is a mismatch.
     """
-    product = (F.col("Quantity") * F.col("Price")).try_cast("decimal(18,4)")
-    gap = F.abs(F.col("Revenue").cast("decimal(18,2)") - F.round(product, 2))
-    tolerance = F.lit(REVENUE_TOLERANCE).cast("decimal(3,2)")
-    counts = cleaned.agg(F.count_if(gap > tolerance).alias("mismatches"))
+    units = F.round(F.col("Price") * 1e8).try_cast("decimal(18,0)")
+    product = (units * F.col("Quantity").cast("decimal(19,0)")).try_cast("decimal(30,0)")
+    pennies = F.signum(product).cast("decimal(1,0)") * F.floor(
+        (F.abs(product) + F.lit(500_000)) / F.lit(1_000_000).cast("decimal(7,0)")
+    )
+    gap = F.abs((F.col("Revenue") * 100).cast("decimal(33,0)") - pennies)
+    wrong = (gap > PENNIES_APART) | (F.col("Revenue").isNull() & product.isNotNull())
+    counts = cleaned.agg(F.count_if(wrong).alias("mismatches"))
     return counts.select("mismatches", (F.col("mismatches") == 0).alias("passed"))
 
 

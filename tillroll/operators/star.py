@@ -83,28 +83,33 @@ def dim_region(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(cleaned: DataFrame, dates: DataFrame, regions: DataFrame) -> DataFrame:
+def fact_sales(
+    cleaned: DataFrame, dates: DataFrame | None = None, regions: DataFrame | None = None
+) -> DataFrame:
     """One row per cleaned line with the keys of its date and region.
 
-    Give dimensions that are stored tables: then their size is known, and the planner
-    broadcasts a small one and shuffles for a large one, splitting a moment with very many
-    sales. Null matches null.
+    A report that needs only one of the keys, or none, leaves the other dimension out: the
+    optimizer could not drop a join whose key it does not know to be unique. The planner
+    broadcasts a small dimension and shuffles for a large one, splitting a moment with very
+    many sales. Null matches null.
     """
-    dates = dates.select("date_id", "full_date")
-    regions = regions.select("region_id", F.col("country").alias("_region"))
-    return (
-        cleaned.join(dates, F.col("InvoiceDate").eqNullSafe(F.col("full_date")), "left")
-        .join(regions, F.col("Country").eqNullSafe(F.col("_region")), "left")
-        .select(
-            F.col("Invoice").alias("invoice"),
-            F.col("Customer ID").alias("customer_id"),
-            F.col("StockCode").alias("stock_code"),
-            "date_id",
-            "region_id",
-            F.col("Quantity").alias("quantity"),
-            F.col("Price").alias("price"),
-            F.col("Revenue").alias("revenue"),
-        )
+    keys = []
+    if dates is not None:
+        dates = dates.select("date_id", "full_date")
+        same = F.col("InvoiceDate").eqNullSafe(F.col("full_date"))
+        cleaned, keys = cleaned.join(dates, same, "left"), ["date_id"]
+    if regions is not None:
+        regions = regions.select("region_id", F.col("country").alias("_region"))
+        same = F.col("Country").eqNullSafe(F.col("_region"))
+        cleaned, keys = cleaned.join(regions, same, "left"), [*keys, "region_id"]
+    return cleaned.select(
+        F.col("Invoice").alias("invoice"),
+        F.col("Customer ID").alias("customer_id"),
+        F.col("StockCode").alias("stock_code"),
+        *keys,
+        F.col("Quantity").alias("quantity"),
+        F.col("Price").alias("price"),
+        F.col("Revenue").alias("revenue"),
     )
 
 
@@ -114,6 +119,29 @@ def with_sale_ids(fact: DataFrame) -> DataFrame:
     return fact.select(F.monotonically_increasing_id().alias("sale_id"), "*")
 
 
+class LoadError(RuntimeError):
+    """The star schema breaks a rule of its keys, references or widths."""
+
+
+def conform(table: DataFrame, name: str) -> DataFrame:
+    """The columns of ``name`` in its schema's order and types; raises if one is missing."""
+    schema = schemas.STAR_SCHEMAS[name]
+    missing = [f.name for f in schema if f.name not in table.columns]
+    if missing:
+        raise LoadError(f"{name} lacks {', '.join(missing)}")
+    return table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+
+
+def enforce_integrity(violations: DataFrame) -> None:
+    """Raise if any rule is broken. A row per rule is all that reaches the driver."""
+    broken = [
+        f"{row['check']} of {row['table']}: {row['violations']}"
+        for row in violations.where(F.col("violations") > 0).collect()
+    ]
+    if broken:
+        raise LoadError("the load breaks " + "; ".join(broken))
+
+
 def verify_load(star: Mapping[str, DataFrame]) -> DataFrame:
     counts = (
         star[name].agg(F.count("*").alias("rows")).select(

@@ -25,6 +25,7 @@ PARTS = {
                     WHEN l_orderkey % 3 = 0 THEN '  ' || p_name || ' '
                     ELSE p_name END AS "Description",
                CASE WHEN l_partkey % 97 = 0 THEN 'x10'
+                    WHEN l_partkey % 83 = 0 THEN '10F'
                     WHEN l_partkey % 89 = 0 THEN NULL
                     WHEN l_returnflag = 'R' THEN CAST(-l_quantity AS VARCHAR)
                     ELSE CAST(l_quantity AS VARCHAR) END AS "Quantity",
@@ -32,8 +33,12 @@ PARTS = {
                     ELSE strftime(o_orderdate + to_hours(CAST(l_orderkey % 24 AS BIGINT)),
                                   '%Y-%m-%d %H:%M:%S') END AS "InvoiceDate",
                CASE WHEN l_partkey % 40 = 0 THEN '0.0'
+                    WHEN l_partkey % 43 = 0 THEN '0x1p3'
+                    WHEN l_partkey % 11 = 0 THEN CAST(p_retailprice AS VARCHAR) || '0499'
                     ELSE CAST(p_retailprice AS VARCHAR) END AS "Price",
                CASE WHEN o_custkey % 5 = 0 THEN NULL
+                    WHEN o_custkey % 13 = 0 THEN '12d'
+                    WHEN o_custkey % 7 = 0 THEN o_custkey + 3000000000 || '.0'
                     ELSE o_custkey || '.0' END AS "Customer ID",
                CASE WHEN n_nationkey = 24 THEN NULL
                     ELSE CASE n_nationkey {_countries} ELSE n_name END END AS "Country",
@@ -49,10 +54,10 @@ PARTS = {
         SELECT {RAW_LIST} FROM sent WHERE l_orderkey % 31 = 0""",
     "typed": """
         SELECT "Invoice", "StockCode", "Description",
-               TRY_CAST(trunc(TRY_CAST("Quantity" AS DOUBLE)) AS INTEGER) AS "Quantity",
+               TRY_CAST(trunc(TRY_CAST("Quantity" AS DOUBLE)) AS BIGINT) AS "Quantity",
                try_strptime("InvoiceDate", '%Y-%m-%d %H:%M:%S') AS "InvoiceDate",
                TRY_CAST("Price" AS DOUBLE) AS "Price",
-               TRY_CAST(trunc(TRY_CAST("Customer ID" AS DOUBLE)) AS INTEGER)
+               TRY_CAST(trunc(TRY_CAST("Customer ID" AS DOUBLE)) AS BIGINT)
                    AS "Customer ID",
                "Country"
         FROM raw""",
@@ -79,7 +84,7 @@ PARTS = {
         SELECT "StockCode" AS stock_code, min("Description") AS description
         FROM cleaned GROUP BY 1""",
     "dim_date": """
-        SELECT CAST(row_number() OVER (ORDER BY full_date) AS INTEGER) AS date_id,
+        SELECT row_number() OVER (ORDER BY full_date) AS date_id,
                full_date,
                CAST(year(full_date) AS INTEGER) AS year,
                CAST(month(full_date) AS INTEGER) AS month,
@@ -89,7 +94,7 @@ PARTS = {
                dayofweek(full_date) IN (0, 6) AS is_weekend
         FROM (SELECT DISTINCT "InvoiceDate" AS full_date FROM cleaned)""",
     "dim_region": f"""
-        SELECT CAST(row_number() OVER (ORDER BY country) AS INTEGER) AS region_id,
+        SELECT row_number() OVER (ORDER BY country) AS region_id,
                country,
                CASE {_regions} ELSE 'Other' END AS region_group
         FROM (SELECT DISTINCT "Country" AS country FROM cleaned)""",
@@ -106,8 +111,10 @@ PARTS = {
 DERIVED = """
         SELECT "Invoice", "StockCode", trim(upper("Description"), ' ') AS "Description",
                "Quantity", "InvoiceDate", "Price", "Customer ID", "Country",
-               CAST(round(CAST("Quantity" * "Price" AS DECIMAL(18,4)), 2)
-                    AS DECIMAL(18,2)) AS "Revenue",
+               CAST(CAST(sign("Quantity" * "Price") AS HUGEINT) * ((
+                        CAST(abs("Quantity") AS HUGEINT)
+                        * CAST(round(abs("Price") * 1e8) AS HUGEINT) + 500000) // 1000000)
+                    * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(31,2)) AS "Revenue",
                CAST(year("InvoiceDate") AS INTEGER) AS "Year",
                CAST(month("InvoiceDate") AS INTEGER) AS "Month",
                CAST(day("InvoiceDate") AS INTEGER) AS "Day",
@@ -135,7 +142,7 @@ def _percent(part: str, whole: str) -> str:
 
 
 def _money(column: str) -> str:
-    return f"CAST(sum({column}) AS DECIMAL(28,2))"
+    return f"CAST(sum({column}) AS DECIMAL(38,2))"
 
 
 def _distinct(column: str) -> str:
@@ -189,7 +196,8 @@ def _expectations() -> str:
 def _integrity() -> str:
     rows = [
         f"SELECT '{rule}({key})' AS \"check\", '{table}' AS \"table\", "
-        f"CAST(count(*) - count(DISTINCT {key}) AS BIGINT) AS violations FROM {table}"
+        f"CAST(count(*) - count(DISTINCT {key}) AS BIGINT) AS violations FROM "
+        + (table if key != "sale_id" else f"(SELECT row_number() OVER () AS sale_id FROM {table})")
         for rule, table, key in schemas.UNIQUE_KEYS
     ]
     rows += [
@@ -273,7 +281,11 @@ BODIES = {
                max(try_strptime("InvoiceDate", '%Y-%m-%d %H:%M:%S')) AS date_max,
                {_distinct('"Customer ID"')} AS unique_customers,
                {_distinct('"StockCode"')} AS unique_products,
-               {_distinct('"Country"')} AS unique_countries
+               {_distinct('"Country"')} AS unique_countries,
+               count(*) FILTER (WHERE "InvoiceDate" IS NOT NULL AND
+                 try_strptime("InvoiceDate", '%Y-%m-%d %H:%M:%S') IS NULL) AS unreadable_dates,
+               count(*) FILTER (WHERE "Customer ID" IS NOT NULL AND
+                 TRY_CAST("Customer ID" AS DOUBLE) IS NULL) AS unreadable_customers
         FROM raw""",
     "top_countries": """
         SELECT CAST(row_number() OVER (ORDER BY cnt DESC, country) AS INTEGER) AS rank,
@@ -315,8 +327,8 @@ BODIES = {
                {_distinct('"Invoice"')} AS "TotalOrders"
         FROM cleaned GROUP BY 1""",
     "rank_products": f"""
-        SELECT *, CAST(rank() OVER (PARTITION BY "Country" ORDER BY "TotalRevenue" DESC)
-                       AS INTEGER) AS "RevenueRank"
+        SELECT *, rank() OVER (PARTITION BY "Country" ORDER BY "TotalRevenue" DESC)
+                    AS "RevenueRank"
         FROM (SELECT "StockCode", "Description", "Country",
                      {_money('"Revenue"')} AS "TotalRevenue"
               FROM cleaned GROUP BY 1, 2, 3)""",
@@ -331,7 +343,8 @@ BODIES = {
     "revenue_integrity": """
         SELECT count(*) FILTER (WHERE bad) AS mismatches,
                count(*) FILTER (WHERE bad) = 0 AS passed
-        FROM (SELECT abs("Revenue" - round(CAST("Quantity" * "Price" AS DECIMAL(18,4)), 2))
+        FROM (SELECT "Revenue" IS NULL OR abs("Revenue"
+                     - round(CAST("Quantity" AS DECIMAL(19,0)) * CAST("Price" AS DECIMAL(18,8)), 2))
                      > 0.01 AS bad FROM cleaned)""",
     "validation_summary": f"""
         SELECT count(*) AS evaluated, count(*) FILTER (WHERE success) AS successful,

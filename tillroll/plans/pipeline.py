@@ -56,12 +56,15 @@ def validate(
 
 
 def load(cleaned: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Each run replaces the tables, so running twice gives the same as running once."""
+    """Each run replaces the tables, so running twice gives the same as running once.
+    Raises :class:`~tillroll.operators.star.LoadError` if a key, reference or width is broken;
+    what is broken is written first."""
     tables = build_star(
         cleaned, lambda df, name: write_table(df, f"{out}/warehouse/{name}")
     )
     write_report_csv(star.verify_load(tables), f"{out}/load_counts")
-    write_report_csv(star.star_integrity(tables), f"{out}/star_integrity")
+    violations = write_table(star.star_integrity(tables), f"{out}/star_integrity")
+    star.enforce_integrity(violations)
     return tables
 
 

@@ -21,11 +21,15 @@ DIMENSIONS = {
 
 
 def build_star(cleaned: DataFrame, store: Store) -> dict[str, DataFrame]:
-    """Store the dimensions, then the fact. ``cleaned`` should itself be a stored table,
-    because each of the five reads it."""
-    tables = {name: store(build(cleaned), name) for name, build in DIMENSIONS.items()}
+    """Store the dimensions, then the fact, each in the schema it is declared with.
+    ``cleaned`` should itself be a stored table, because each of the five reads it."""
+    tables = {
+        name: store(star.conform(build(cleaned), name), name)
+        for name, build in DIMENSIONS.items()
+    }
     fact = star.fact_sales(cleaned, tables["dim_date"], tables["dim_region"])
-    tables["fact_sales"] = store(star.with_sale_ids(fact), "fact_sales")
+    fact = star.conform(star.with_sale_ids(fact), "fact_sales")
+    tables["fact_sales"] = store(fact, "fact_sales")
     return tables
 
 

@@ -38,18 +38,19 @@ REGION_GROUPS = {
 }
 OTHER_REGION = "Other"
 
-MONEY = T.DecimalType(18, 2)
-MONEY_TOTAL = T.DecimalType(28, 2)
+#: Holds any bigint quantity times a price of ten integer digits.
+MONEY = T.DecimalType(31, 2)
+MONEY_TOTAL = T.DecimalType(38, 2)
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-DIM_CUSTOMER = _schema(customer_id=T.IntegerType(), country=T.StringType())
+DIM_CUSTOMER = _schema(customer_id=T.LongType(), country=T.StringType())
 DIM_PRODUCT = _schema(stock_code=T.StringType(), description=T.StringType())
 DIM_DATE = _schema(
-    date_id=T.IntegerType(),
+    date_id=T.LongType(),
     full_date=T.TimestampNTZType(),
     year=T.IntegerType(),
     month=T.IntegerType(),
@@ -59,16 +60,16 @@ DIM_DATE = _schema(
     is_weekend=T.BooleanType(),
 )
 DIM_REGION = _schema(
-    region_id=T.IntegerType(), country=T.StringType(), region_group=T.StringType()
+    region_id=T.LongType(), country=T.StringType(), region_group=T.StringType()
 )
 FACT_SALES = _schema(
     sale_id=T.LongType(),
     invoice=T.StringType(),
-    customer_id=T.IntegerType(),
+    customer_id=T.LongType(),
     stock_code=T.StringType(),
-    date_id=T.IntegerType(),
-    region_id=T.IntegerType(),
-    quantity=T.IntegerType(),
+    date_id=T.LongType(),
+    region_id=T.LongType(),
+    quantity=T.LongType(),
     price=T.DoubleType(),
     revenue=MONEY,
 )
@@ -88,6 +89,7 @@ UNIQUE_KEYS = (
     ("primary_key", "dim_date", "date_id"),
     ("primary_key", "dim_region", "region_id"),
     ("unique", "dim_region", "country"),
+    ("primary_key", "fact_sales", "sale_id"),
 )
 FOREIGN_KEYS = (
     ("customer_id", "dim_customer"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -15,7 +14,13 @@ from pyspark.sql import types as T
 
 from tillroll import schemas
 
-OVERFLOW = "_overflow"
+MALFORMED = "_malformed"
+
+# Words that spreadsheets and data frames write for a missing value.
+MISSING_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 _DIALECT = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
 
@@ -55,61 +60,92 @@ def check_columns(columns: Sequence[str], source: str) -> None:
         raise MissingColumnsError(f"Missing columns in {source}: {', '.join(missing)}")
 
 
-def _unusual_files(spark: SparkSession, files: Sequence[str]) -> dict[str, Row]:
-    """Which files have another header than the first, and in which a quoted field may
-    run over several lines.
+# A line with closed fields: a quoted one ends at its quote, another may hold any quotes but
+# at its start. The parts are possessive, so a line that does not fit fails at once.
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|)'
+CLOSED_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+_QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|\s*$)'
+
 
-    If every physical line has an even number of quotes, no quoted field crosses a line
-    end, and Spark may cut the file anywhere. One pass over the text, in parallel; only
-    one row per unusual file comes back.
+def _kinds(spark: SparkSession, files: Sequence[str]) -> list[Row]:
+    """The files by their first line and by whether a quoted field may cross a line end.
+
+    One pass over the text, in parallel. A row per kind comes back; together they have the
+    names of the files, which the driver listed in the first place.
     """
-    header = spark.read.text(files[0]).first()
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    rows = (
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    by_file = (
         spark.read.text(list(files))
-        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+        .groupBy("file")
         .agg(
-            F.bool_or(line == (header.value if header else "")).alias("same_header"),
-            F.bool_or(quotes % 2 == 1).alias("line_breaks"),
+            F.min_by(line, F.col("place")).alias("header"),
+            F.bool_or(~line.rlike(CLOSED_LINE)).alias("line_breaks"),
         )
-        .where(F.col("line_breaks") | ~F.col("same_header"))
+    )
+    return (
+        by_file.groupBy("header", "line_breaks")
+        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+        .orderBy(F.get("files", F.lit(0)))
         .collect()
     )
-    return {_key(row.file): row for row in rows}
 
 
-def _scan(spark: SparkSession, files: Sequence[str], multi_line: bool) -> DataFrame:
+def _scan(
+    spark: SparkSession, files: Sequence[str], multi_line: bool, missing: Sequence[str]
+) -> DataFrame:
+    """Lines of files with one header. A line with more fields than the header is left out,
+    whatever they hold; the reader marks lines of another length, and only those are counted."""
     names = header_columns(spark, files[0])
     check_columns(names, files[0])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
     lines = (
         spark.read.schema(schema)
-        .options(**_DIALECT, multiLine=multi_line)
+        .options(
+            **_DIALECT,
+            multiLine=multi_line,
+            columnNameOfCorruptRecord=MALFORMED,
+            # Else a query of few columns would not see that a line is too long.
+            columnPruning=False,
+        )
         .csv(list(files))
     )
-    kept = lines.where(F.col(OVERFLOW).isNull())
+    plain = F.regexp_replace(MALFORMED, _QUOTED, "$1")
+    commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
+    kept = lines.where(F.col(MALFORMED).isNull() | (commas < len(names)))
+    # Spark refuses a query that reads the mark alone, as a count does: read a field as well.
+    kept = kept.where(~F.col(f"`{names[0]}`").eqNullSafe(F.lit("\0")))
     # A quoted empty field is missing too, as an unquoted one is.
-    return kept.select(*(F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names))
+    words = ["", *missing]
+    return kept.select(
+        *(F.when(~F.col(f"`{n}`").isin(words), F.col(f"`{n}`")).alias(n) for n in names)
+    )
 
 
 def read_lines(
-    spark: SparkSession, path: str, multi_line: bool | None = None
+    spark: SparkSession,
+    path: str,
+    multi_line: bool | None = None,
+    missing: Sequence[str] = (),
 ) -> DataFrame:
     """All lines as text. Lines with too many fields are left out; short ones get nulls.
 
     ``multi_line=None`` looks which files need the multi-line reader, which takes a whole
-    file per task; all others are split among tasks however large they are.
+    file per task; all others are split among tasks however large they are. Fields that are
+    one of the words in ``missing``, ``MISSING_WORDS`` for one, are null like empty ones.
     """
-    files = find_csv(spark, path)
-    unusual = _unusual_files(spark, files)
-    groups: dict[tuple[str, bool], list[str]] = defaultdict(list)
-    for file in files:
-        row = unusual.get(_key(file))
-        whole = bool(row and row.line_breaks) if multi_line is None else multi_line
-        header_from = files[0] if row is None or row.same_header else file
-        groups[header_from, whole].append(file)
-    scans = [_scan(spark, group, whole) for (_, whole), group in groups.items()]
+    files = {_key(file): file for file in find_csv(spark, path)}
+    scans = []
+    for kind in _kinds(spark, list(files.values())):
+        whole = bool(kind.line_breaks) if multi_line is None else multi_line
+        names = [files.get(_key(f), f) for f in kind.files]
+        scans.append(_scan(spark, names, whole, missing))
+    if not scans:  # files without any line
+        return _scan(spark, list(files.values()), bool(multi_line), missing)
     return reduce(
         lambda one, other: one.unionByName(other, allowMissingColumns=True), scans
     )

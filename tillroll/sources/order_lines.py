@@ -15,6 +15,8 @@ COUNTRIES = (
     "China", "Singapore", "Hong Kong", "India", "Bahrain",
 )
 NO_COUNTRY_NATION = 24
+# Lifts some customer ids above 32 bits.
+LARGE_ID = 3_000_000_000
 
 # The columns read. Naming them spares a job per table that would look them up.
 TABLES = {
@@ -53,6 +55,11 @@ def _orders(table) -> DataFrame:
             .otherwise(moment.cast("string"))
             .alias("InvoiceDate"),
             F.when(_every("o_custkey", 5), None)
+            .when(_every("o_custkey", 13), "12d")
+            .when(
+                _every("o_custkey", 7),
+                F.concat((F.col("o_custkey") + LARGE_ID).cast("string"), F.lit(".0")),
+            )
             .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
             .alias("Customer ID"),
             _country().alias("Country"),
@@ -66,6 +73,8 @@ def _parts(table) -> DataFrame:
         F.col("p_partkey").cast("string").alias("StockCode"),
         F.when(~_every("p_partkey", 50), F.col("p_name")).alias("_name"),
         F.when(_every("p_partkey", 40), "0.0")
+        .when(_every("p_partkey", 43), "0x1p3")
+        .when(_every("p_partkey", 11), F.concat(F.col("p_retailprice").cast("string"), F.lit("0499")))
         .otherwise(F.col("p_retailprice").cast("string"))
         .alias("Price"),
     )
@@ -94,6 +103,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("_name"))
         .alias("Description"),
         F.when(_every("l_partkey", 97), "x10")
+        .when(_every("l_partkey", 83), "10F")
         .when(_every("l_partkey", 89), None)
         .otherwise(quantity.cast("string"))
         .alias("Quantity"),

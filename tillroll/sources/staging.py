@@ -32,7 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tillroll-{uuid.uuid4().hex}/{name}"
+    """A folder nobody else uses. It is deleted when the application ends, because a table
+    in it may be read as long as that."""
+    folder = f"{shared_folder(spark)}/tillroll-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

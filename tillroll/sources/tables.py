@@ -41,7 +41,9 @@ def append_jdbc(
     batch_rows: int = 10_000,
     connections: int = 16,
 ) -> None:
-    """Append to a database table in batches over a limited number of connections."""
-    df.coalesce(connections).write.option("batchsize", batch_rows).jdbc(
+    """Append to a database table in batches over a limited number of connections.
+
+    The shuffle keeps the limit to the writing: what makes the rows runs as wide as ever."""
+    df.repartition(connections).write.option("batchsize", batch_rows).jdbc(
         url, table, mode="append", properties=dict(properties)
     )
