@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import string
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.staging import shared_folder
+from tillroll.sources.staging import new_folder
 
 #: ASCII white space; words are the runs between it.
 WHITE = " \t\n\x0b\x0c\r"
@@ -70,10 +69,10 @@ def id_bucket(identifier: Column, modulus: int) -> Column:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder of the shared area and read it back, which cuts the lineage.
 
-    The folder is one that every executor and the driver reach, see ``shared_folder``. What
-    comes back does not depend on any executor staying alive.
+    The folder is one that every executor and the driver reach, see ``staging``; it goes when
+    the application ends. What comes back does not depend on any executor staying alive.
     """
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

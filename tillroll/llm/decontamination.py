@@ -89,6 +89,7 @@ def signatures(items: DataFrame, percent: int = PERCENT) -> DataFrame:
 def find_items(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, item_id, n_shingles, n_common for every item that a document contains."""
     spark = documents.sparkSession
+    documents = documents.select("doc_id", "text")  # other columns may have our names
     items = store(item_table(benchmark), "items")
     signed = bounded_broadcast(signatures(items, percent), BROADCAST_ROWS)
     widths = [r[0] for r in items.select("width").distinct().collect()]  # five at most
@@ -154,7 +155,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, percent: int = PER
         "leaked",
     )
     leaked = bounded_broadcast(found, BROADCAST_ROWS)
-    return documents.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    same = documents["doc_id"].eqNullSafe(leaked["leaked"])
+    return documents.join(leaked, same, "left_anti")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import id_bucket, ship, table
 
 UNKNOWN = "und"
+LABEL = "_language_id_label"
 FOLDS, HELD_OUT = 3, 1
 WINDOW, WINDOWS, PER_LANGUAGE = 64, 6, 256
 STATES, STEPS, BATCH, RATE = 8, 220, 192, 0.02
@@ -178,6 +179,7 @@ def _gradients(
 def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """Learn ``lang`` from documents that are not held out; None if there is nothing."""
     ship(documents.sparkSession)
+    documents = documents.select("doc_id", "lang", "text")  # other columns may have our names
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -255,13 +257,13 @@ def identify(
         )
 
     languages = F.array(*map(F.lit, net.names))
-    found = documents.withColumn("_label", label(F.col("text")))
+    found = documents.withColumn(LABEL, label(F.col("text")))
     return found.withColumns(
         {
-            predicted: F.when(lettered, F.get(languages, F.col("_label.place"))).otherwise(UNKNOWN),
-            score: F.when(lettered, F.col("_label.score")).otherwise(0.0),
+            predicted: F.when(lettered, F.get(languages, F.col(f"{LABEL}.place"))).otherwise(UNKNOWN),
+            score: F.when(lettered, F.col(f"{LABEL}.score")).otherwise(0.0),
         }
-    ).drop("_label")
+    ).drop(LABEL)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

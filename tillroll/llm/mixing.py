@@ -276,12 +276,13 @@ def apply_mix(documents: DataFrame, mixed: DataFrame, seed: int = SEED) -> DataF
     copies = copies.withColumn(
         "times", (F.floor(ratio) + F.when(chance < ratio - F.floor(ratio), 1).otherwise(0)).cast("int")
     ).where("times > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_body"))
-    return (
-        documents.join(copies.select("m_id", "m_body", "times"), same)
-        .select(*documents.columns, F.explode(F.sequence(F.lit(1), "times")).alias("m_copy"))
-        .drop("m_copy")
+    # Columns of the documents may have the names used here, so each is taken from its frame.
+    same = documents["doc_id"].eqNullSafe(copies["m_id"]) & (
+        F.xxhash64(documents["text"]) == copies["m_body"]
     )
+    own = [documents[f"`{name}`"] for name in documents.columns]
+    repeated = F.explode(F.sequence(F.lit(1), copies["times"])).alias("_mix_copy")
+    return documents.join(copies, same).select(*own, repeated).drop("_mix_copy")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
