@@ -51,6 +51,9 @@ from tillroll.llm.shingles import by_bucket, set_digest, shingle_set
 SLICE = 1000
 #: Shown shingles in a bucket, about.
 BUCKET_ENTRIES = 500_000
+#: The same for where keys meet, which are a quarter of all shingles at most, and the least.
+MEETING_ENTRIES = 2_000_000
+LEAST_MEETINGS = 16
 #: Sets in a block of a large group, and shingles of all groups that go to one task, about.
 BLOCK = 4096
 TASK_SHINGLES = 2_000_000
@@ -228,8 +231,31 @@ def live_sets(documents: DataFrame, live: DataFrame) -> DataFrame:
 KEY_SCHEMA = "bucket int, nodes binary, owners binary, hashes binary, held binary"
 
 
-def coarse_edges(sets: DataFrame, buckets: int) -> DataFrame:
-    """a, b: sets that share a key, each with one of those that share it."""
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Edges that join the same nodes as all (a, b) do, fewer than there are nodes."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    kept = []
+    pairs = np.unique(np.stack([a, b], 1).astype(np.int64), axis=0)
+    for x, y in pairs[pairs[:, 0] != pairs[:, 1]].tolist():
+        one, other = root(x), root(y)
+        if one != other:
+            parent[max(one, other)] = min(one, other)
+            kept.append((x, y))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def coarse_edges(sets: DataFrame, buckets: int, meetings: int) -> DataFrame:
+    """a, b: sets that share a key, each with one of those that share it.
+
+    Keys meet in fewer buckets than shingles: a bucket returns what hangs together in it, and
+    few buckets return few copies of one edge."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
@@ -300,12 +326,12 @@ def coarse_edges(sets: DataFrame, buckets: int) -> DataFrame:
         near, back = np.unique(hashes, return_inverse=True)
         least = np.full(len(near), np.iinfo(np.int64).max)
         np.minimum.at(least, back, owners)
-        edges = np.unique(np.stack([owners, least[back]], 1), axis=0) if len(owners) else None
-        rows = [] if edges is None else [(-1, edges.astype(np.int64).tobytes(), None, None, None)]
+        edges = _forest(owners, least[back])
+        rows = [(-1, edges.tobytes(), None, None, None)] if len(edges) else []
         rows += [
             (bucket, n.tobytes(), None, h.tobytes(), None)
             for bucket, (n, h) in by_bucket(
-                (near % np.uint64(buckets)).astype(np.int32), least, near
+                (near % np.uint64(meetings)).astype(np.int32), least, near
             )
         ]
         return pa.Table.from_batches(
@@ -326,7 +352,7 @@ def coarse_edges(sets: DataFrame, buckets: int) -> DataFrame:
         least = np.full(len(keys), np.iinfo(np.int64).max)
         np.minimum.at(least, back, nodes)
         edges.append(np.stack([nodes, least[back]], 1))
-        found = np.unique(np.concatenate(edges), axis=0)
+        found = _forest(*np.concatenate(edges).T)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,7 +372,7 @@ def coarse_edges(sets: DataFrame, buckets: int) -> DataFrame:
     keys = with_sizes.groupBy("bucket").applyInArrow(order, KEY_SCHEMA)
     # Edges found already are dealt out evenly; keys meet by bucket.
     spread = F.when(
-        F.col("bucket") < 0, F.pmod(F.hash("nodes"), F.lit(buckets))
+        F.col("bucket") < 0, F.pmod(F.hash("nodes"), F.lit(meetings))
     ).otherwise(F.col("bucket"))
     return (
         keys.withColumn("bucket", spread.cast("int"))
@@ -531,7 +557,11 @@ def similar_documents(documents: DataFrame) -> DataFrame:
     )
     sets = store(live_sets(documents, live), "live-sets")
     kept = live.agg(F.sum("n")).first()[0] or 0
-    edges = coarse_edges(sets, max(partitions, math.ceil(kept / BUCKET_ENTRIES)))
+    edges = coarse_edges(
+        sets,
+        max(partitions, math.ceil(kept / BUCKET_ENTRIES)),
+        max(LEAST_MEETINGS, math.ceil(kept / MEETING_ENTRIES)),
+    )
     groups = connected_components(edges)
     tasks = max(partitions, math.ceil(kept / TASK_SHINGLES))
     parts = connected_components(links_in_groups(sets, groups, tasks))
@@ -540,7 +570,8 @@ def similar_documents(documents: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("label", "node").alias("part")
     )
     placed = store(placed, "placed")
-    smallest = placed.groupBy("part").agg(F.min("doc_id").alias("smallest"))
+    # Stored, so that the join deals both sides anew and can split a hot component.
+    smallest = store(placed.groupBy("part").agg(F.min("doc_id").alias("smallest")), "smallest")
     result = placed.join(smallest, "part", "left").select(
         "doc_id",
         "n_shingles",
