@@ -125,10 +125,17 @@ def apportion(
         .where(~F.col("_closed") & (F.col(weight) > 0))
         .where(last >= F.col("_sure"))
         .select(
-            *group, "_claim", weight, "_rest", F.explode(F.sequence("_sure", last)).alias("_k")
+            *group,
+            "_claim",
+            weight,
+            "_rest",
+            # Equal quotients are told apart by content, so that reruns agree.
+            F.xxhash64(*claims.columns).alias("_tie"),
+            F.explode(F.sequence("_sure", last)).alias("_k"),
         )
     )
-    best = all_of.orderBy(F.desc(F.col(weight) / (2 * F.col("_k") + 1)), "_claim", "_k")
+    quotient = F.desc(F.col(weight) / (2 * F.col("_k") + 1))
+    best = all_of.orderBy(quotient, "_tie", "_claim", "_k")
     won = (
         listed.withColumn("_place", F.row_number().over(best))
         .where(F.col("_place") <= F.col("_rest"))
