@@ -19,15 +19,32 @@ WHITE = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+#: Rows that go to a Python worker at once, where the session does not say it.
+ARROW_ROWS = "2000"
 _shipped: set[str] = set()
 
 
+def give_back_memory() -> None:
+    """Return what a Python worker has freed to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once for each application.
+    """Make the Python workers ready: send them this package's code, once for each
+    application, and bound what they get at once.
 
     Workers cannot import what only the driver's ``sys.path`` shows. Spark copies the archive
     to every executor, those that come later too.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) in (None, "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
