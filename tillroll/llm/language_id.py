@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_bucket, ship, table
+from tillroll.llm.common import give_back_memory, id_bucket, ship, table
 
 UNKNOWN = "und"
 LABEL = "_language_id_label"
@@ -252,10 +252,13 @@ def identify(
             chances = net.predict([(t or "").encode() for t in texts.iloc[at : at + 200]])
             places.append(chances.argmax(1))
             scores.append(chances.max(1).clip(0, 1))
+        give_back_memory()
         return pd.DataFrame(
             {"place": np.concatenate([[], *places]).astype("int32"), "score": np.concatenate([[], *scores])}
         )
 
+    # Else the optimizer would run the network once for a filter and once for its result.
+    label = label.asNondeterministic()
     languages = F.array(*map(F.lit, net.names))
     found = documents.withColumn(LABEL, label(F.col("text")))
     return found.withColumns(
