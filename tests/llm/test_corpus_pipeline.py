@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import shingles, words
+from cases import shingles, words
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 

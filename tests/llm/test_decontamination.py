@@ -1,6 +1,6 @@
 import random
 
-from conftest import PASSAGE, shingles
+from cases import PASSAGE, shingles
 from tillroll.llm.decontamination import decontaminate, find_items, item_table, signatures
 
 ITEMS = [
@@ -37,7 +37,7 @@ def result(df):
 
 
 def test_odd_documents_and_items(spark, odd):
-    from conftest import ODD
+    from cases import ODD
 
     got = result(find_items(odd, benchmark(spark, ITEMS)))
     assert got == brute(ODD, ITEMS) and (2, 1) in got and (None, 5) in got

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import ODD, shingles
+from cases import ODD, shingles
 from tillroll.llm.components import connected_components
 from tillroll.llm.jaccard_join import InvertedLists, group_links, similar_documents
 

@@ -1,7 +1,7 @@
 import hashlib
 from collections import defaultdict
 
-from conftest import ODD, UPPER
+from cases import ODD, UPPER
 from tillroll.llm.line_dedup import dedup_lines
 
 WHITE = " \t\n\x0b\x0c\r"

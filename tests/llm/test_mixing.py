@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import words
+from cases import words
 from tillroll.llm.mixing import apply_mix, apportion, mix
 
 WEIGHTS = (5, 2, 1)

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import ODD
+from cases import ODD
 from tillroll.llm import language_id, language_model, quality
 
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import ODD
+from cases import ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
