@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,16 +28,22 @@ _shipped: set[str] = set()
 
 def give_back_memory() -> None:
     """Return what a Python worker has freed to the system, where the C library can."""
-    import ctypes
-
-    import pyarrow
-
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def giving_back(of_group: Callable) -> Callable:
+    """A function of a group that gives its memory back before the next group comes."""
+
+    def wrapped(table: pyarrow.Table) -> pyarrow.Table:
+        give_back_memory()
+        return of_group(table)
+
+    return wrapped
+
+
 def ship(spark: SparkSession) -> None:
     """Make the Python workers ready: send them this package's code, once for each
     application, and bound what they get at once.

@@ -44,13 +44,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_broadcast, forget, ship, store, table
+from tillroll.llm.common import (
+    bounded_broadcast,
+    forget,
+    give_back_memory,
+    giving_back,
+    ship,
+    store,
+    table,
+)
 from tillroll.llm.components import connected_components
 from tillroll.llm.shingles import by_bucket, set_digest, shingle_set
 
 SLICE = 1000
 #: Shown shingles in a bucket, about.
-BUCKET_ENTRIES = 500_000
+BUCKET_ENTRIES = 1_000_000
 #: The same for where keys meet, which are a quarter of all shingles at most, and the least.
 MEETING_ENTRIES = 2_000_000
 LEAST_MEETINGS = 16
@@ -96,6 +104,7 @@ def set_table(documents: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
                 ["doc_id", "n_shingles", "node"],
             )
+        give_back_memory()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         measure, "doc_id long, n_shingles long, node long"
@@ -111,7 +120,7 @@ def _block(bucket: int, nodes: np.ndarray, owners: np.ndarray, hashes: np.ndarra
     return (
         bucket,
         nodes[own].tobytes(),
-        places.astype(np.uint32).tobytes(),
+        places.astype(np.uint16).tobytes(),  # at most SLICE nodes
         hashes.tobytes(),
     )
 
@@ -124,7 +133,7 @@ def _unblock(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ):
         hashes.append(np.frombuffer(packed.as_py(), np.uint64))
         own = np.frombuffer(nodes.as_py(), np.int64)
-        owners.append(own[np.frombuffer(places.as_py(), np.uint32)])
+        owners.append(own[np.frombuffer(places.as_py(), np.uint16)])
     return np.concatenate(hashes), np.concatenate(owners)
 
 
@@ -184,7 +193,9 @@ def common_counts(documents: DataFrame, buckets: int) -> DataFrame:
                     counted = known[some].astype(np.uint32).tobytes()
                     rows.append((int(nodes[0] % buckets), nodes[some].tobytes(), counted, None))
                 yield _frame(rows, BLOCK_NAMES, BLOCK_KINDS)
+        give_back_memory()
 
+    @giving_back
     def count(block: pa.Table) -> pa.Table:
         counted = pc.is_null(block.column("hashes"))
         hashes, owners = _unblock(block.filter(pc.invert(counted)))
@@ -218,6 +229,7 @@ def live_sets(documents: DataFrame, live: DataFrame) -> DataFrame:
                 if len(found) and set_digest(found) == node.as_py():
                     rows.append((node.as_py(), found.tobytes()))
             yield _frame(rows, ["node", "shingles"], [pa.int64(), pa.binary()])
+        give_back_memory()
 
     held = bounded_broadcast(live.select(F.col("doc_id").alias("holder"), "node"), BROADCAST_ROWS)
     return (
@@ -275,7 +287,9 @@ def coarse_edges(sets: DataFrame, buckets: int, meetings: int) -> DataFrame:
                     BLOCK_NAMES,
                     BLOCK_KINDS,
                 )
+        give_back_memory()
 
+    @giving_back
     def count(block: pa.Table) -> pa.Table:
         """Shared shingles go to their owner's bucket with the number of sets that hold them."""
         hashes, owners, held = _holders(*_unblock(block))
@@ -294,6 +308,7 @@ def coarse_edges(sets: DataFrame, buckets: int, meetings: int) -> DataFrame:
             [_frame(rows, [*BLOCK_NAMES, "held"], [*BLOCK_KINDS, pa.binary()])]
         )
 
+    @giving_back
     def order(block: pa.Table) -> pa.Table:
         """The keys of every set: the rarest of those that others hold, after what none does."""
         sizes = [r for r in block.to_pylist() if r["held"] is None]
@@ -338,6 +353,7 @@ def coarse_edges(sets: DataFrame, buckets: int, meetings: int) -> DataFrame:
             [_frame(rows, [*BLOCK_NAMES, "held"], [*BLOCK_KINDS, pa.binary()])]
         )
 
+    @giving_back
     def join(block: pa.Table) -> pa.Table:
         edges = [np.empty((0, 2), np.int64)]
         nodes, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
@@ -514,6 +530,7 @@ def links_in_groups(sets: DataFrame, groups: DataFrame, tasks: int) -> DataFrame
         )
     )
 
+    @giving_back
     def search(task: pa.Table) -> pa.Table:
         searches: dict[int, dict[int, np.ndarray]] = {}
         for search, node, packed in zip(

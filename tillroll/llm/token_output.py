@@ -154,8 +154,10 @@ class Encoder:
         pieces = np.insert(pieces, bounds[1:], 0)  # piece 0 is the end id
         lengths = self.lengths[pieces]
         stops = np.cumsum(lengths)
-        shift = np.repeat(self.starts[pieces] - (stops - lengths), lengths)
-        ids = self.ids[shift + np.arange(len(shift))]
+        # 32 bits hold the ids of a batch; what is largest here is as small as can be.
+        at = np.repeat((self.starts[pieces] - (stops - lengths)).astype(np.int32), lengths)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = self.ids[at]
         ends = stops[bounds[1:] + np.arange(len(bounds) - 1)]
         return ids, np.concatenate([[0], ends])
 
