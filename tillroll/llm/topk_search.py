@@ -43,8 +43,8 @@ EVERY = 50
 PIVOTS = 256
 TREE_ROWS = 8192
 QUERY_BLOCK = 2048
-PAGE = 256
-FAN = 16
+PAGE = 512
+FAN = 64
 
 
 @dataclass
@@ -53,7 +53,8 @@ class Page:
     radius: float = 0.0
     #: Distances of the entries to the centre, and in a leaf the entries themselves.
     distances: np.ndarray = field(default_factory=lambda: np.empty(0))
-    rows: np.ndarray | None = None
+    vectors: np.ndarray | None = None
+    ids: np.ndarray | None = None
     children: list[Page] = field(default_factory=list)
 
 
@@ -67,6 +68,8 @@ class MTree:
         last = np.sqrt(np.maximum(length**2 - norms, 0))
         self.points = np.c_[self.vectors.astype(float), last]
         self.margin = 1e-6 * (1 + length)
+        # Doubles hold products below 2^52 exactly, and are multiplied much faster.
+        self.exact = float if length**2 < 2**52 else np.int64
         self.computed = 0
         self.root = self._page(np.arange(len(ids)))
 
@@ -75,20 +78,19 @@ class MTree:
         centre = points.mean(0)
         page = Page(centre)
         if len(rows) <= PAGE:
-            page.rows = rows
+            page.vectors, page.ids = self.vectors[rows].astype(self.exact), self.ids[rows]
             page.distances = np.sqrt(((points - centre) ** 2).sum(1))
             page.radius = float(page.distances.max())
             return page
-        # Each next routing point is the farthest from those before it.
+        # Routing points lie evenly in the order of ids, which makes children of like sizes.
         near = np.full(len(rows), np.inf)
         owner = np.zeros(len(rows), int)
-        chosen = points[((points - centre) ** 2).sum(1).argmax()]
-        for number in range(FAN):
-            away = ((points - chosen) ** 2).sum(1)
+        fan = min(FAN, math.ceil(2 * len(rows) / PAGE))
+        for number, place in enumerate(np.linspace(0, len(rows) - 1, fan).astype(int)):
+            away = ((points - points[place]) ** 2).sum(1)
             owner[away < near] = number
             near = np.minimum(near, away)
-            chosen = points[near.argmax()]
-        parts = [rows[owner == n] for n in range(FAN)]
+        parts = [rows[owner == n] for n in range(fan)]
         if max(map(len, parts)) == len(rows):  # equal vectors: pages in order of id
             parts = np.array_split(rows, math.ceil(len(rows) / PAGE))
         page.children = [self._page(part) for part in parts if len(part)]
@@ -105,6 +107,7 @@ class MTree:
         point = np.r_[query.astype(float), 0.0]
         length = self.points[0] @ self.points[0] + point @ point
         margin = self.margin + 1e-6 * math.sqrt(point @ point)
+        exact = query.astype(self.exact)
         best: list[tuple[int, int]] = []  # a heap with the worst first: (score, -id)
         limit = bound + margin
         to_root = math.sqrt(((self.root.centre - point) ** 2).sum())
@@ -114,7 +117,7 @@ class MTree:
             least, _, to_centre, page = heapq.heappop(waiting)
             if least > limit:
                 break
-            if page.rows is None:
+            if page.vectors is None:
                 radii = np.array([c.radius for c in page.children])
                 may = np.flatnonzero(np.abs(page.distances - to_centre) - radii <= limit)
                 for i in may:
@@ -126,16 +129,20 @@ class MTree:
                             waiting, (max(0.0, away - child.radius), number, away, child)
                         )
                 continue
-            may = page.rows[np.abs(page.distances - to_centre) <= limit]
-            self.computed += len(may)
-            scores = self.vectors[may] @ query
-            # Only what can still enter; rows are in order of id.
-            if len(best) == k:
-                may, scores = may[scores >= best[0][0]], scores[scores >= best[0][0]]
-            first = np.lexsort((self.ids[may], -scores))[: k + 1]
-            for score, other in zip(scores[first].tolist(), self.ids[may[first]].tolist(), strict=True):
+            vectors, ids = page.vectors, page.ids
+            may = np.abs(page.distances - to_centre) <= limit
+            if not may.all():
+                vectors, ids = vectors[may], ids[may]
+            self.computed += len(ids)
+            scores = vectors @ exact
+            if len(best) == k:  # only what can still enter
+                enter = np.flatnonzero(scores >= best[0][0])
+                scores, ids = scores[enter], ids[enter]
+            first = np.lexsort((ids, -scores))[: k + 1]
+            for score, other in zip(scores[first].tolist(), ids[first].tolist(), strict=True):
                 if other == own:
                     continue
+                score = int(score)
                 if len(best) < k:
                     heapq.heappush(best, (score, -other))
                 elif (score, -other) > best[0]:
