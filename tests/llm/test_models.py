@@ -162,3 +162,38 @@ def test_tables_lie_between_one_and_the_customers():
     few = language_model.tables_of(counts, np.full(6, 0.01), 0.5, random)
     many = language_model.tables_of(counts, np.full(6, 50.0), 0.5, random)
     assert (few >= 1).all() and (many <= counts).all() and (many[2:] > few[2:]).all()
+
+
+def test_the_whole_word_before_is_the_context(spark, documents_of):
+    rows = [(i, "the alpha " * 30 + "she beta " * 30, "en", "a") for i in range(40)]
+    documents = documents_of(rows).select("doc_id", "text")
+    [row] = [r.asDict() for r in language_model.train(documents, 1).collect()]
+    chances = language_model.Chances(row, np.array(row["totals"]))
+    hashes, *_ = language_model.tokens(["the she alpha"])
+    end, the, she, alpha = hashes
+    _, logs = chances.score(np.array([alpha, alpha]), np.array([the, she]))
+    assert logs[0] > logs[1] + 1  # 'the' and 'she' end alike
+    for context in (end, the, she, alpha):
+        words = np.r_[chances.words, np.uint64(1)]  # and one that is new
+        _, logs = chances.score(words, np.full(len(words), context))
+        assert (10**logs).sum() == pytest.approx(1)
+
+
+def test_scores_are_those_of_one_bucket_with_all(spark, documents_of):
+    rows = [(i, " ".join(f"w{(i * j * j) % 23}" for j in range(50)), "en", "a") for i in range(60)]
+    documents = documents_of(rows)
+    got = {r.doc_id: r.score for r in language_model.score_documents(documents).collect()}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    model = [r.asDict() for r in language_model.train(documents.select("doc_id", "text"), buckets).collect()]
+    totals = np.sum([r["totals"] for r in model], 0)
+    parts = [language_model.Chances(r, totals) for r in model]
+    for doc, text, *_ in rows[:12]:
+        hashes, place, _, before = language_model.tokens([text])
+        seen, customers = sum(p.of_names(hashes)[0] for p in parts)
+        in_parent, in_context = sum(p.of_names(hashes)[1] for p in parts)
+        cells = [p.of_cells(hashes[place], hashes[before]) for p in parts]
+        above = language_model.chance_above(seen, in_parent, totals)[:, place]
+        chance = language_model.chance(
+            sum(c for c, _ in cells), sum(t for _, t in cells), customers[before], in_context[:, before], above
+        )
+        assert got[doc] == pytest.approx(np.log10(chance.mean(0)).sum())

@@ -1,13 +1,13 @@
 """Texts scored by a hierarchical Pitman-Yor model over words and their contexts.
 
-Every context is a restaurant. A word's context is what the word before it ends in: the last
-two bytes before closing punctuation, hashed to one of ``CONTEXTS`` - 1 restaurants, or the
-start of the text. All context restaurants share one parent, the restaurant of single words,
-which has each word at one table of its own, as its base is spread over endlessly many words.
-A word seen c times in a context sits at t of its tables there; each table is a customer of the
-parent. The chance of a word is its share in the context, less a discount for each table, plus
-what the discounts free times the chance that the parent gives. Unknown words are one class,
-whose chance in the parent is what a new word has there.
+Every context is a restaurant. A word's context is the whole word before it, or the start of the
+text, however many there are. All context restaurants share one parent, the restaurant of single
+words, which has each word at one table of its own, as its base is spread over endlessly many
+words. A word seen c times in a context sits at t of its tables there; each table is a customer of
+the parent. The chance of a word is its share in the context, less a discount for each table, plus
+what the discounts free times the chance that the parent gives. In a context that was not seen, it
+is the parent's. Unknown words are one class, whose chance in the parent is what a new word has
+there.
 
 Seating is sampled by Gibbs: in each sweep the customers of every word in every context sit
 down anew, one after the other, with the chances of the Chinese restaurant process given all
@@ -15,12 +15,16 @@ other tables; from the ``SINGLE``th on in groups of a sixteenth of those before
 chance at the middle of the group. After ``BURN`` sweeps ``SAMPLES`` seatings are kept, and a
 word's chance is the mean over them.
 
-On Spark words are dealt out by hash, with all their contexts, so a word's parent is where its
-tables are. Counts are merged in each task first; a word has at most ``CONTEXTS`` counts in any.
-While a bucket is sampled, the tables of other buckets count as many times its own as there are
-buckets; for scoring, all totals are exact. Documents are scored by sending their words to the
-model's buckets, packed by slices of documents. A bucket with common words gets more of them, so
-it is split among several tasks, each with a copy of the bucket's model.
+On Spark the cells, which are the different pairs of context and word, are dealt out by the hash of
+the word, those of a hot word by the hash of the pair; which words are hot is guessed from a part
+of the documents and decides only where cells lie. Counts are merged in each slice of documents
+first. What concerns a word as a whole, its customers and tables as a context and as a dish of
+the parent, lies where the hash of the word says. Before each sweep the buckets send the sums of
+their tables there and get the totals of all buckets back. A single customer has one table, so
+only cells with several take part.
+
+Documents are scored by slices: a slice asks for its words and its cells, and sums up by document
+what comes back.
 
 Defined results: words are compared with A-Z lower-cased; a null or empty text is its end only.
 Every row is scored by itself; a row without id counts as one with an empty id for the split.
@@ -40,24 +44,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tillroll.llm.common import bounded_broadcast, forget, id_bucket, ship, store, table
+from tillroll.llm.common import forget, id_bucket, ship, store, table
 from tillroll.llm.shingles import by_bucket
 
 FOLDS, HELD_OUT = 7, 2
-CONTEXTS = 256
 DISCOUNT, STRENGTH = 0.8, 50.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 100.0
 BURN, SAMPLES = 2, 3
 SINGLE = 256
 SLICE = 2000
 BUCKET_TOKENS = 4_000_000
-BROADCAST_ROWS = 100_000
+#: One of so many documents tells which words are hot: those with more than a quarter of a bucket.
+HOT_PART = 64
 END = xxh3_64_intdigest(b"", seed=1)
-PUNCTUATION = b".,;:!?*%$&#|\"')("
 
 
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, and for every token: place of its word, document, context."""
+    """Word hashes, and for every token: place of its word, document, place of the word before."""
     known: dict[bytes, int] = {b"": 0}
     flat: list[int] = []
     lengths = np.empty(len(texts), np.int64)
@@ -68,30 +71,73 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         lengths[i] = len(words) + 1
     hashes = np.fromiter(map(xxh3_64_intdigest, known), np.uint64, len(known))
     hashes[0] = END
-    after = np.fromiter(
-        (xxh3_64_intdigest(w.rstrip(PUNCTUATION)[-2:]) % (CONTEXTS - 1) + 1 for w in known),
-        np.uint8,
-        len(known),
-    )
-    after[0] = 0
     place = np.array(flat, np.int64)
-    context = np.r_[np.uint8(0), after[place[:-1]]] if len(place) else np.empty(0, np.uint8)
-    return hashes, place, np.repeat(np.arange(len(texts)), lengths), context
+    before = np.r_[0, place[:-1]] if len(place) else place
+    return hashes, place, np.repeat(np.arange(len(texts)), lengths), before
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as the largest needs; the first byte is the width."""
+    largest = int(numbers.max()) if numbers.size else 0
+    width = next(n for n in (1, 2, 4, 8) if largest < 1 << 8 * n)
+    return bytes([width]) + numbers.astype(f"u{width}").tobytes()
 
 
-def _merge(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else []
-    return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", offset=1).astype(np.int64)
+
+
+def _hashes(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64)
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes % np.uint64(buckets)).astype(np.int32)
 
 
+def _mixed(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """A hash of each pair."""
+    x = words * np.uint64(0x9E3779B97F4A7C15) ^ contexts
+    for factor in (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+def _cell_bucket(
+    words: np.ndarray, contexts: np.ndarray, hot: np.ndarray, buckets: int
+) -> np.ndarray:
+    by = words.copy()
+    spread = np.isin(words, hot)
+    by[spread] = _mixed(words[spread], contexts[spread])
+    return _bucket_of(by, buckets)
+
+
+def _by_owner(names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different names in order of owner and hash, and where each given one is among them."""
+    own, back = np.unique(names, return_inverse=True)
+    order = np.lexsort((own, own % np.uint64(buckets)))
+    rank = np.empty(len(own), np.int64)
+    rank[order] = np.arange(len(own))
+    return own[order], rank[back]
+
+
+def _runs(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each bucket with where it lies."""
+    starts = np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1]])
+    if len(sorted_buckets):
+        for a, b in zip(starts, np.r_[starts[1:], len(sorted_buckets)], strict=True):
+            yield int(sorted_buckets[a]), slice(a, b)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in sorted ``keys``, and which are there at all."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
+
+
 def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
     return pa.RecordBatch.from_arrays(
@@ -131,169 +177,300 @@ def tables_of(
     return out
 
 
-def sample_seatings(
-    word: np.ndarray, context: np.ndarray, counts: np.ndarray, scale: float, seed: int
-) -> np.ndarray:
-    """SAMPLES x cells: tables of every (word, context) cell, sorted by word.
-
-    ``scale`` is how many times what lies here all restaurants hold."""
-    random = np.random.default_rng(seed)
-    tables = np.ones(len(counts))
-    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    sizes = np.diff(np.r_[starts, len(word)])
-    # A single customer has one table, whatever else.
-    several = np.flatnonzero(counts > 1)
-    kept = []
-    for sweep in range(BURN + SAMPLES):
-        in_context = np.bincount(context, tables, CONTEXTS) * scale
-        in_parent = np.add.reduceat(tables, starts)
-        every = in_parent.sum() * scale
-        parent = np.repeat((in_parent - ROOT_DISCOUNT) / (ROOT_STRENGTH + every), sizes)
-        weight = (STRENGTH + DISCOUNT * in_context[context]) * parent
-        tables[several] = tables_of(counts[several], weight[several], DISCOUNT, random)
-        if sweep >= BURN:
-            kept.append(tables.copy())
-    return np.array(kept)
-
-
-#: Places in a bucket's totals: customers by context, tables by sample and context, customers
-#: of the parent by sample, words, tokens.
-TOTALS = CONTEXTS + SAMPLES * CONTEXTS + SAMPLES + 2
-COUNT_FIELDS = [
-    ("bucket", pa.int32()), ("words", pa.binary()), ("cells", pa.binary()),
-    ("contexts", pa.binary()), ("counts", pa.binary()),
+#: One schema for all that goes between buckets: who gets it, what it is, from which bucket or of
+#: which slice, and up to six arrays.
+NOTE_FIELDS = [("bucket", pa.int32()), ("kind", pa.string()), ("source", pa.int64())] + [
+    (name, pa.binary()) for name in "abcdef"
 ]
-COUNT_SCHEMA = "bucket int, words binary, cells binary, contexts binary, counts binary"
-MODEL_SCHEMA = COUNT_SCHEMA + ", tables binary, totals array<double>"
+NOTE_SCHEMA = "bucket int, kind string, source long, " + ", ".join(f"{n} binary" for n in "abcdef")
+MODEL_SCHEMA = (
+    "bucket int, names binary, customers binary, tables binary, words binary, contexts binary, "
+    "counts binary, seated binary, totals array<double>"
+)
+
+
+def _note(bucket: int, kind: str, source: int, *arrays: bytes | None) -> tuple:
+    return (bucket, kind, source, *arrays, *[None] * (6 - len(arrays)))
+
+
+def _notes(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, NOTE_FIELDS)])
+
+
+def _of_kind(block: pa.Table, kind: str) -> list[dict]:
+    """Rows of a kind in one order."""
+    return sorted((r for r in block.to_pylist() if r["kind"] == kind), key=lambda r: r["source"])
+
+
+def hot_words(learned: DataFrame, buckets: int) -> np.ndarray:
+    """Hashes of words with more than a quarter of a bucket's share: at most 4 for each bucket."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, place, _, _ = tokens(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.view(np.int64)), pa.array(np.bincount(place, minlength=len(hashes)))],
+                ["word", "number"],
+            )
+
+    part = learned.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_PART)) == 0).select("text")
+    counts = part.mapInArrow(count, "word long, number long").groupBy("word").agg(
+        F.sum("number").alias("number")
+    )
+    counts = store(counts, "word-counts")
+    every = counts.agg(F.sum("number")).first()[0] or 0
+    found = counts.where(F.col("number") * 4 * buckets > every).select("word").collect()
+    forget(counts.sparkSession, counts)
+    return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64))
 
 
 def train(documents: DataFrame, buckets: int, seed: int = 11) -> DataFrame:
-    """A row for each bucket of words: counts, sampled tables, and the bucket's totals."""
+    """A row for each bucket: its words with their totals, its cells, and sums over its words."""
+    learned = documents.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
+    return _train(learned, buckets, hot_words(learned, buckets), seed)
+
+
+def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> DataFrame:
+    spark = learned.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
             for at in range(0, large.num_rows, SLICE):
                 texts = large.column("text").slice(at, SLICE).to_pylist()
-                hashes, place, _, context = tokens(texts)
-                keys, counts = _merge(place * CONTEXTS + context)
-                owner = keys // CONTEXTS
+                hashes, place, _, before = tokens(texts)
+                keys, counts = np.unique(place * len(hashes) + before, return_counts=True)
+                words, contexts = keys // len(hashes), hashes[keys % len(hashes)]
                 rows = []
-                for bucket, (words, contexts, number) in by_bucket(
-                    _bucket_of(hashes[owner], buckets), owner, keys % CONTEXTS, counts
+                for bucket, (own, other, number) in by_bucket(
+                    _cell_bucket(hashes[words], contexts, hot, buckets), words, contexts, counts
                 ):
-                    own, cells = np.unique(words, return_counts=True)
-                    rows.append(
-                        (
-                            bucket,
-                            hashes[own].tobytes(),
-                            cells.astype(np.uint16).tobytes(),
-                            contexts.astype(np.uint8).tobytes(),
-                            number.astype(np.uint32).tobytes(),
-                        )
-                    )
-                yield _batch(rows, COUNT_FIELDS)
+                    own, cells = np.unique(own, return_counts=True)
+                    arrays = hashes[own].tobytes(), _pack(cells), other.tobytes(), _pack(number)
+                    rows.append(_note(bucket, "counts", 0, *arrays))
+                yield _batch(rows, NOTE_FIELDS)
 
-    def seat(block: pa.Table) -> pa.Table:
+    def merge(block: pa.Table) -> pa.Table:
         bucket = block.column("bucket")[0].as_py()
-        words, context, counts = _cells(block)
-        order = np.lexsort((context, words))
-        words, context, counts = words[order], context[order], counts[order]
+        rows = block.to_pylist()
+        words = np.concatenate([np.repeat(_hashes(r["a"]), _unpack(r["b"])) for r in rows])
+        contexts = np.concatenate([_hashes(r["c"]) for r in rows])
+        counts = np.concatenate([_unpack(r["d"]) for r in rows])
+        order = np.lexsort((contexts, words))
+        words, contexts = words[order], contexts[order]
         starts = np.flatnonzero(
-            np.r_[True, (words[1:] != words[:-1]) | (context[1:] != context[:-1])]
+            np.r_[True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]
         )
-        words, context = words[starts], context[starts]
-        counts = np.add.reduceat(counts, starts)
-        tables = sample_seatings(words, context, counts, float(buckets), seed + bucket)
-        own, cells = np.unique(words, return_counts=True)
-        totals = np.concatenate(
-            [
-                np.bincount(context, counts, CONTEXTS),
-                *(np.bincount(context, t, CONTEXTS) for t in tables),
-                tables.sum(1),
-                [len(own), counts.sum()],
+        words, contexts = words[starts], contexts[starts]
+        counts = np.add.reduceat(counts[order], starts)
+        out = [_note(bucket, "cells", 0, words.tobytes(), contexts.tobytes(), _pack(counts))]
+        # Only cells with several customers move; each begins with one table.
+        moves = counts > 1
+        moving = [words[moves].tobytes(), contexts[moves].tobytes(), _pack(counts[moves])]
+        out.append(_note(bucket, "moving", 0, *moving, _pack(np.ones(moves.sum(), int))))
+        names, place = _by_owner(np.r_[words, contexts], buckets)
+        as_word, as_context = place[: len(words)], place[len(words) :]
+        sums = [
+            np.bincount(p, w, len(names))
+            for w in (counts, None)
+            for p in (as_word, as_context)
+        ]
+        for owner, run in _runs(_bucket_of(names, buckets)):
+            out.append(
+                _note(owner, "whole", bucket, names[run].tobytes(), *(_pack(x[run]) for x in sums))
+            )
+        return _notes(out)
+
+    def own(block: pa.Table) -> pa.Table:
+        """Names of an owner: customers as word and context, cells as word and context."""
+        rows = block.to_pylist()
+        names, back = np.unique(np.concatenate([_hashes(r["a"]) for r in rows]), return_inverse=True)
+        sums = [
+            _pack(np.bincount(back, np.concatenate([_unpack(r[n]) for r in rows]), len(names)))
+            for n in "bcde"
+        ]
+        return _notes([_note(rows[0]["bucket"], "owned", 0, names.tobytes(), *sums)])
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tables beyond the first of the cells that move, summed by name, to the owners."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, contexts = _hashes(row["a"]), _hashes(row["b"])
+                beyond = _unpack(row["d"]) - 1
+                names, place = _by_owner(np.r_[words, contexts], buckets)
+                as_word = np.bincount(place[: len(words)], beyond, len(names))
+                as_context = np.bincount(place[len(words) :], beyond, len(names))
+                out = [
+                    _note(
+                        owner, "report", row["bucket"], names[run].tobytes(),
+                        _pack(as_word[run]), _pack(as_context[run]),
+                    )
+                    for owner, run in _runs(_bucket_of(names, buckets))
+                ]
+                yield _batch(out, NOTE_FIELDS)
+
+    def total(block: pa.Table) -> pa.Table:
+        """Tables of an owner's names, for itself and for each bucket that reported some."""
+        [owned] = _of_kind(block, "owned")
+        names, as_word, as_context = _hashes(owned["a"]), _unpack(owned["d"]), _unpack(owned["e"])
+        reports = [(r, np.searchsorted(names, _hashes(r["a"]))) for r in _of_kind(block, "report")]
+        for r, at in reports:
+            as_word[at] += _unpack(r["b"])
+            as_context[at] += _unpack(r["c"])
+        me = owned["bucket"]
+        every = _pack(as_word.sum(keepdims=True))
+        out = [_note(me, "tables", me, _pack(as_word), _pack(as_context), every)]
+        for r, at in reports:
+            out.append(_note(r["source"], "answer", me, _pack(as_word[at]), _pack(as_context[at])))
+        return _notes(out)
+
+    def seat(sweep: int, every: int):
+        def of_bucket(block: pa.Table) -> pa.Table:
+            [row] = _of_kind(block, "moving")
+            answers = _of_kind(block, "answer")
+            words, contexts, counts = _hashes(row["a"]), _hashes(row["b"]), _unpack(row["c"])
+            tables = np.ones(0)
+            if len(words):
+                _, place = _by_owner(np.r_[words, contexts], buckets)
+                in_parent = np.concatenate([_unpack(r["a"]) for r in answers])[place[: len(words)]]
+                in_context = np.concatenate([_unpack(r["b"]) for r in answers])[place[len(words) :]]
+                parent = (in_parent - ROOT_DISCOUNT) / (ROOT_STRENGTH + every)
+                weight = (STRENGTH + DISCOUNT * in_context) * parent
+                random = np.random.default_rng([seed, sweep, row["bucket"]])
+                tables = tables_of(counts, weight, DISCOUNT, random)
+            return _notes([_note(row["bucket"], "moving", 0, row["a"], row["b"], row["c"], _pack(tables))])
+
+        return of_bucket
+
+    def of(frame: DataFrame, kind: str) -> DataFrame:
+        return frame.where(F.col("kind") == kind)
+
+    counted = learned.select("text").mapInArrow(count, NOTE_SCHEMA)
+    merged = store(counted.groupBy("bucket").applyInArrow(merge, NOTE_SCHEMA), "cells")
+    owned = store(of(merged, "whole").groupBy("bucket").applyInArrow(own, NOTE_SCHEMA), "owned")
+    moving = of(merged, "moving")
+    kept, passed = [], []
+    for sweep in range(BURN + SAMPLES + 1):
+        reports = moving.mapInArrow(report, NOTE_SCHEMA).unionByName(owned)
+        totals = store(reports.groupBy("bucket").applyInArrow(total, NOTE_SCHEMA), "totals")
+        passed.append(totals)
+        if sweep > BURN:  # a seating that is kept, by its place
+            number = F.lit(sweep - BURN - 1).cast("long")
+            kept += [
+                of(totals, "tables").withColumn("source", number),
+                moving.withColumn("source", number),
             ]
-        )
+        if sweep < BURN + SAMPLES:
+            # One row for each owner.
+            every = sum(int(_unpack(r["c"])[0]) for r in of(totals, "tables").select("c").collect())
+            given = moving.unionByName(of(totals, "answer")).groupBy("bucket")
+            moving = store(given.applyInArrow(seat(sweep, every), NOTE_SCHEMA), "seating")
+            passed.append(moving)
+
+    def assemble(block: pa.Table) -> pa.Table:
+        bucket = block.column("bucket")[0].as_py()
+        cells, owns = _of_kind(block, "cells"), _of_kind(block, "owned")
+        names = customers = tables = b""
+        totals = np.zeros(SAMPLES + 2)
+        if owns:
+            names = owns[0]["a"]
+            as_word, as_context = _unpack(owns[0]["b"]), _unpack(owns[0]["c"])
+            samples = [(_unpack(r["a"]), _unpack(r["b"])) for r in _of_kind(block, "tables")]
+            customers = _pack(np.r_[as_word, as_context])
+            tables = _pack(np.r_[*(w for w, _ in samples), *(c for _, c in samples)])
+            totals = np.array([*(w.sum() for w, _ in samples), (as_word > 0).sum(), as_word.sum()])
+        words = contexts = counts = seated = b""
+        if cells:
+            words, contexts, counts = (cells[0][n] for n in "abc")
+            every = np.ones((SAMPLES, len(_hashes(words))), np.int64)
+            moves = _unpack(counts) > 1
+            for row in _of_kind(block, "moving"):
+                every[row["source"], moves] = _unpack(row["d"])
+            seated = _pack(every)
+        row = (bucket, names, customers, tables, words, contexts, counts, seated)
         return pa.table(
             {
-                "bucket": pa.array([bucket], pa.int32()),
-                "words": pa.array([own.tobytes()]),
-                "cells": pa.array([cells.astype(np.uint16).tobytes()]),
-                "contexts": pa.array([context.astype(np.uint8).tobytes()]),
-                "counts": pa.array([counts.astype(np.int64).tobytes()]),
-                "tables": pa.array([tables.astype(np.uint32).tobytes()]),
-                "totals": pa.array([totals.tolist()], pa.list_(pa.float64())),
+                n: pa.array([v], pa.int32() if n == "bucket" else pa.binary())
+                for n, v in zip(MODEL_FIELDS, row, strict=True)
             }
+            | {"totals": pa.array([totals.astype(float).tolist()], pa.list_(pa.float64()))}
         )
 
-    learned = documents.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT).select("text")
-    return learned.mapInArrow(count, COUNT_SCHEMA).groupBy("bucket").applyInArrow(seat, MODEL_SCHEMA)
+    parts = of(merged, "cells").unionByName(owned)
+    for part in kept:
+        parts = parts.unionByName(part)
+    model = store(parts.groupBy("bucket").applyInArrow(assemble, MODEL_SCHEMA), "seatings")
+    forget(spark, merged, owned, *passed)
+    return model
+
 
+MODEL_FIELDS = ["bucket", "names", "customers", "tables", "words", "contexts", "counts", "seated"]
 
-def _cells(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words, contexts, counts = [], [], []
-    for row in block.select(["words", "cells", "contexts", "counts"]).to_pylist():
-        cells = np.frombuffer(row["cells"], np.uint16)
-        words.append(np.repeat(np.frombuffer(row["words"], np.uint64), cells))
-        contexts.append(np.frombuffer(row["contexts"], np.uint8))
-        counts.append(np.frombuffer(row["counts"], np.uint32))
-    return np.concatenate(words), np.concatenate(contexts), np.concatenate(counts).astype(np.int64)
+
+def chance(
+    counts: np.ndarray, seated: np.ndarray, customers: np.ndarray, tables: np.ndarray,
+    above: np.ndarray,
+) -> np.ndarray:
+    """Of words in contexts that have ``customers`` at ``tables``, by sample; ``above`` is that
+    in the parent."""
+    own = np.where(counts > 0, counts - DISCOUNT * seated, 0)
+    return (own + (STRENGTH + DISCOUNT * tables) * above) / (STRENGTH + customers)
+
+
+def chance_above(counts: np.ndarray, in_parent: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """In the parent, of words with ``counts`` customers, by sample; of 0 that of any new word."""
+    every = (ROOT_STRENGTH + totals[:SAMPLES])[:, None]
+    new = (ROOT_STRENGTH + ROOT_DISCOUNT * totals[-2]) / every
+    return np.where(counts > 0, (in_parent - ROOT_DISCOUNT) / every, new)
 
 
 class Chances:
     """The model of one bucket with the totals of all."""
 
     def __init__(self, row: dict | None, totals: np.ndarray):
-        c = CONTEXTS
-        self.customers = totals[:c]
-        self.tables = totals[c : c + SAMPLES * c].reshape(SAMPLES, c)
-        self.parent = totals[c + SAMPLES * c : -2]
-        self.n_words, self.n_tokens = totals[-2:]
-        self.words = np.empty(0, np.uint64)
-        if row is None:
-            return
-        self.words = np.frombuffer(row["words"], np.uint64)
-        cells = np.frombuffer(row["cells"], np.uint16)
-        self.of_word = np.repeat(np.arange(len(self.words)), cells)
-        contexts = np.frombuffer(row["contexts"], np.uint8)
-        self.keys = self.of_word * c + contexts
-        self.counts = np.frombuffer(row["counts"], np.int64)
-        self.seated = np.frombuffer(row["tables"], np.uint32).reshape(SAMPLES, -1).astype(float)
-        self.word_counts = np.bincount(self.of_word, self.counts, len(self.words))
-        self.in_parent = np.array([np.bincount(self.of_word, t, len(self.words)) for t in self.seated])
-
-    def score(self, words: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often each word was seen, and the log10 of its chance in the context."""
-        new = (ROOT_STRENGTH + ROOT_DISCOUNT * self.n_words) / (ROOT_STRENGTH + self.parent)
-        above = np.repeat(new[:, None], len(words), 1)
-        seen = np.zeros(len(words))
-        own = np.zeros((SAMPLES, len(words)))
-        if len(self.words):
-            at = np.searchsorted(self.words, words)
-            at[at == len(self.words)] = 0
-            known = self.words[at] == words
-            seen[known] = self.word_counts[at[known]]
-            above[:, known] = (self.in_parent[:, at[known]] - ROOT_DISCOUNT) / (
-                ROOT_STRENGTH + self.parent
-            )[:, None]
-            wanted = at * CONTEXTS + context
-            cell = np.searchsorted(self.keys, wanted)
-            cell[cell == len(self.keys)] = 0
-            met = known & (self.keys[cell] == wanted)
-            own[:, met] = self.counts[cell[met]] - DISCOUNT * self.seated[:, cell[met]]
-        whole = STRENGTH + self.customers[context]
-        chance = (own + (STRENGTH + DISCOUNT * self.tables[:, context]) * above) / whole
-        return seen, np.log10(chance.mean(0))
-
-
-ENTRY_FIELDS = [
-    ("bucket", pa.int32()), ("slice", pa.int64()), ("words", pa.binary()), ("cells", pa.binary()),
-    ("contexts", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()),
-]
-ENTRY_SCHEMA = (
-    "bucket int, slice long, words binary, cells binary, contexts binary, counts binary, "
-    "places binary"
-)
-PART_SCHEMA = "slice long, ids binary, held binary, places binary, sums binary"
+        self.totals = totals
+        row = row or {}
+        self.names = _hashes(row.get("names") or b"")
+        self.customers = _unpack(row.get("customers") or b"\1").reshape(2, -1)
+        self.tables = _unpack(row.get("tables") or b"\1").reshape(2, SAMPLES, -1)
+        self.words = self.names[self.customers[0] > 0]
+        self.cell_words = _hashes(row.get("words") or b"")
+        self.cell_contexts = _hashes(row.get("contexts") or b"")
+        self.counts = _unpack(row.get("counts") or b"\1")
+        self.seated = _unpack(row.get("seated") or b"\1").reshape(SAMPLES, -1)
+        # Sorted by a hash of the pair, to find cells at once; pairs themselves are compared.
+        mixed = _mixed(self.cell_words, self.cell_contexts)
+        self.order = np.argsort(mixed, kind="stable")
+        self.mixed = mixed[self.order]
+
+    def of_names(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """2 x names customers and 2 x SAMPLES x names tables, as word and as context."""
+        at, met = _find(self.names, names)
+        customers = np.zeros((2, len(names)), np.int64)
+        tables = np.zeros((2, SAMPLES, len(names)), np.int64)
+        customers[:, met] = self.customers[:, at[met]]
+        tables[:, :, met] = self.tables[:, :, at[met]]
+        return customers, tables
+
+    def of_cells(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts, and SAMPLES x cells tables."""
+        at, met = _find(self.mixed, _mixed(words, contexts))
+        if met.any():
+            at = self.order[at]
+            met &= (self.cell_words[at] == words) & (self.cell_contexts[at] == contexts)
+        counts = np.zeros(len(words), np.int64)
+        seated = np.zeros((SAMPLES, len(words)), np.int64)
+        counts[met] = self.counts[at[met]]
+        seated[:, met] = self.seated[:, at[met]]
+        return counts, seated
+
+    def score(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word was seen, and the log10 of its chance in the context, as far as
+        this bucket knows both."""
+        (seen, _), (in_parent, _) = self.of_names(words)
+        (_, customers), (_, tables) = self.of_names(contexts.astype(np.uint64))
+        counts, seated = self.of_cells(words, contexts.astype(np.uint64))
+        above = chance_above(seen, in_parent, self.totals)
+        return seen, np.log10(chance(counts, seated, customers, tables, above).mean(0))
 
 
 def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
@@ -308,8 +485,10 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
     )
     characters = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(partitions, math.ceil(characters / 5 / BUCKET_TOKENS))
-    model = store(train(read, buckets, seed), "seatings")
-    totals = np.zeros(TOTALS)
+    learned = read.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
+    hot = hot_words(learned, buckets)
+    model = _train(learned, buckets, hot, seed)
+    totals = np.zeros(SAMPLES + 2)
     # One row for each place.
     for row in (
         model.select(F.posexplode("totals").alias("place", "value"))
@@ -318,132 +497,116 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         .collect()
     ):
         totals[row["place"]] = row["value"]
-    copies = model.select(
-        "bucket",
-        F.greatest(
-            F.ceil(F.element_at("totals", TOTALS) / BUCKET_TOKENS), F.lit(1)
-        ).alias("copies"),
-    )
-    copies = bounded_broadcast(copies, BROADCAST_ROWS)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A slice asks owners for names and buckets for cells, in order of both, and gives its
+        own head: documents, places of each cell's names, and the cells of each document."""
         task, number = TaskContext.get().partitionId(), 0
         for large in batches:
             for at in range(0, large.num_rows, SLICE):
                 batch = large.slice(at, SLICE)
-                name = task * (1 << 32) + number
+                source = task * (1 << 32) + number
                 number += 1
-                hashes, place, document, context = tokens(batch.column("text").to_pylist())
-                keys, counts = _merge((place * CONTEXTS + context) * SLICE + document)
-                cell = keys // SLICE
-                owner = cell // CONTEXTS
-                rows = []
-                for bucket, (words, contexts, places, many) in by_bucket(
-                    _bucket_of(hashes[owner], buckets),
-                    owner,
-                    cell % CONTEXTS,
-                    keys % SLICE,
-                    counts,
-                ):
-                    own, cells = np.unique(words, return_counts=True)
-                    rows.append(
-                        (
-                            bucket,
-                            name,
-                            hashes[own].tobytes(),
-                            cells.astype(np.uint32).tobytes(),
-                            contexts.astype(np.uint8).tobytes(),
-                            many.astype(np.uint32).tobytes(),
-                            places.astype(np.uint16).tobytes(),
-                        )
-                    )
+                hashes, place, document, before = tokens(batch.column("text").to_pylist())
+                names, rank = _by_owner(hashes, buckets)
+                place, before = rank[place], rank[before]
+                rows = [
+                    _note(owner, "names", source, names[run].tobytes())
+                    for owner, run in _runs(_bucket_of(names, buckets))
+                ]
+                keys, cell = np.unique(place * len(names) + before, return_inverse=True)
+                words, contexts = keys // len(names), keys % len(names)
+                of = _cell_bucket(names[words], names[contexts], hot, buckets)
+                order = np.argsort(of, kind="stable")
+                where = np.empty(len(order), np.int64)
+                where[order] = np.arange(len(order))
+                words, contexts, of = words[order], contexts[order], of[order]
+                for bucket, run in _runs(of):
+                    own, cells = np.unique(words[run], return_counts=True)
+                    arrays = names[own].tobytes(), _pack(cells), names[contexts[run]].tobytes()
+                    rows.append(_note(bucket, "cells", source, *arrays))
                 ids = batch.column("doc_id")
                 absent = ids.is_null().to_numpy(zero_copy_only=False)
                 flags = batch.column("held").to_numpy(zero_copy_only=False) + 2 * absent
                 rows.append(
-                    (
-                        name % buckets,
-                        name,
-                        None,
+                    _note(
+                        source % buckets,
+                        "head",
+                        source,
                         ids.fill_null(0).to_numpy().tobytes(),
                         flags.astype(np.uint8).tobytes(),
-                        np.bincount(document).astype(np.int64).tobytes(),
-                        None,
+                        _pack(np.bincount(document, minlength=batch.num_rows)),
+                        _pack(words),
+                        _pack(contexts),
+                        _pack(where[cell]),
                     )
                 )
-                yield _batch(rows, ENTRY_FIELDS)
+                yield _batch(rows, NOTE_FIELDS)
 
-    def score(block: pa.Table) -> pa.Table:
+    def answer(block: pa.Table) -> pa.Table:
+        """What is asked of a bucket, in the order of the questions; heads pass."""
         rows = block.to_pylist()
-        models = [r for r in rows if r["slice"] is None]
+        models = [r for r in rows if r["kind"] == "model"]
         chances = Chances(models[0] if models else None, totals)
-        base = chances.n_tokens + chances.n_words + 1
         out = []
         for row in rows:
-            if row["slice"] is None:
-                continue
-            if row["words"] is None:
-                out.append((row["slice"], row["cells"], row["contexts"], None, row["counts"]))
+            if row["kind"] == "names":
+                customers, tables = chances.of_names(_hashes(row["a"]))
+                arrays = _pack(customers), _pack(tables)
+            elif row["kind"] == "cells":
+                words = np.repeat(_hashes(row["a"]), _unpack(row["b"]))
+                counts, seated = chances.of_cells(words, _hashes(row["c"]))
+                arrays = _pack(counts), _pack(seated)
+            elif row["kind"] == "head":
+                arrays = [row[n] for n in "abcdef"]
+            else:
                 continue
-            cells = np.frombuffer(row["cells"], np.uint32)
-            words = np.repeat(np.frombuffer(row["words"], np.uint64), cells)
-            contexts = np.frombuffer(row["contexts"], np.uint8)
-            many = np.frombuffer(row["counts"], np.uint32)
-            places = np.frombuffer(row["places"], np.uint16)
-            seen, chance = chances.score(words, contexts)
-            own, back = np.unique(places, return_inverse=True)
-            sums = np.stack(
-                [
-                    np.bincount(back, many * (seen > 0)),
-                    np.bincount(back, many * np.log10((seen + 1) / base)),
-                    np.bincount(back, many * chance),
-                ]
-            )
-            out.append((row["slice"], None, None, own.tobytes(), sums.tobytes()))
-        fields = [("slice", pa.int64())] + [
-            (n, pa.binary()) for n in ("ids", "held", "places", "sums")
-        ]
-        return pa.Table.from_batches([_batch(out, fields)])
+            out.append(_note(row["bucket"], row["kind"], row["source"], *arrays))
+        return _notes(out)
 
     def gather(block: pa.Table) -> pa.Table:
-        rows = block.to_pylist()
-        head = next(r for r in rows if r["ids"] is not None)
-        ids = np.frombuffer(head["ids"], np.int64)
-        flags = np.frombuffer(head["held"], np.uint8)
-        sums = np.zeros((3, len(ids)))
-        # In one order, so that sums of floating point are always the same.
-        parts = sorted((r["places"], r["sums"]) for r in rows if r["ids"] is None)
-        for places, packed in parts:
-            at = np.frombuffer(places, np.uint16)
-            sums[:, at] += np.frombuffer(packed).reshape(3, -1)
+        rows = sorted(block.to_pylist(), key=lambda r: r["bucket"])
+        head = next(r for r in rows if r["kind"] == "head")
+        ids = np.frombuffer(head["a"], np.int64)
+        flags = np.frombuffer(head["b"], np.uint8)
+        lengths, words, contexts, cell = (_unpack(head[n]) for n in "cdef")
+
+        def together(kind: str, name: str, rows_each: int) -> np.ndarray:
+            parts = [_unpack(r[name]).reshape(rows_each, -1) for r in rows if r["kind"] == kind]
+            return np.concatenate(parts, 1)
+
+        (seen, customers), tables = together("names", "a", 2), together("names", "b", 2 * SAMPLES)
+        [counts], seated = together("cells", "a", 1), together("cells", "b", SAMPLES)
+        above = chance_above(seen, tables[:SAMPLES], totals)
+        whole = np.zeros(len(words))
+        for n in range(SAMPLES):  # a sample at a time, for less memory
+            whole += chance(
+                counts, seated[n], customers[contexts], tables[SAMPLES + n][contexts], above[n][words]
+            )
+        logs = np.log10(whole / SAMPLES)
+        bases = np.log10((seen + 1) / (totals[-1] + totals[-2] + 1))
+        document = np.repeat(np.arange(len(ids)), lengths)
+        word = words[cell]
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=flags >= 2),
                 "held_out": pa.array(flags % 2 == 1),
-                "n_tokens": pa.array(np.frombuffer(head["sums"], np.int64)),
-                "n_known": pa.array(sums[0].astype(np.int64)),
-                "base_score": pa.array(sums[1]),
-                "score": pa.array(sums[2]),
+                "n_tokens": pa.array(lengths),
+                "n_known": pa.array(np.bincount(document, seen[word] > 0, len(ids)).astype(np.int64)),
+                "base_score": pa.array(np.bincount(document, bases[word], len(ids))),
+                "score": pa.array(np.bincount(document, logs[cell], len(ids))),
             }
         )
 
-    entries = read.mapInArrow(deal, ENTRY_SCHEMA)
-    dealt = entries.join(copies, "bucket", "left").select(
-        "bucket",
-        F.pmod("slice", F.coalesce("copies", F.lit(1))).alias("copy"),
-        "slice", "words", "cells", "contexts", "counts", "places",
-        F.lit(None).cast("binary").alias("tables"),
+    asked = read.mapInArrow(deal, NOTE_SCHEMA).select(
+        "*", *(F.lit(None).cast("binary").alias(n) for n in MODEL_FIELDS[1:])
     )
-    models = model.join(copies, "bucket").select(
-        "bucket",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"),
-        F.lit(None).cast("long").alias("slice"),
-        "words", "cells", "contexts", "counts",
-        F.lit(None).cast("binary").alias("places"),
-        "tables",
+    models = model.select(
+        "bucket", F.lit("model").alias("kind"), F.lit(None).cast("long").alias("source"),
+        *(F.lit(None).cast("binary").alias(n) for n in "abcdef"), *MODEL_FIELDS[1:],
     )
-    parts = dealt.unionByName(models).groupBy("bucket", "copy").applyInArrow(score, PART_SCHEMA)
-    scored = parts.groupBy("slice").applyInArrow(
+    parts = asked.unionByName(models).groupBy("bucket").applyInArrow(answer, NOTE_SCHEMA)
+    scored = parts.groupBy("source").applyInArrow(
         gather,
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double",
