@@ -197,3 +197,18 @@ def test_scores_are_those_of_one_bucket_with_all(spark, documents_of):
             sum(c for c, _ in cells), sum(t for _, t in cells), customers[before], in_context[:, before], above
         )
         assert got[doc] == pytest.approx(np.log10(chance.mean(0)).sum())
+
+
+def test_seating_does_not_depend_on_the_number_of_buckets(documents_of):
+    rows = [(i, " ".join(f"w{(i * j * j) % 23}" for j in range(50)) + " hot" * 40, "en", "a") for i in range(60)]
+    documents = documents_of(rows).select("doc_id", "text")
+    seated = []
+    for buckets in (1, 5):
+        cells = {}
+        for row in language_model.train(documents, buckets).collect():
+            part = language_model.Chances(row.asDict(), np.array(row["totals"]))
+            pairs = zip(part.cell_words.tolist(), part.cell_contexts.tolist(), strict=True)
+            cells |= dict(zip(pairs, zip(part.counts.tolist(), *part.seated.tolist(), strict=True), strict=True))
+        seated.append(cells)
+    assert seated[0] == seated[1] and max(c[0] for c in seated[0].values()) > 2 * language_model.SINGLE
+    assert len({c[1:] for c in seated[0].values()}) > 5

@@ -21,7 +21,8 @@ of the documents and decides only where cells lie. Counts are merged in each sli
 first. What concerns a word as a whole, its customers and tables as a context and as a dish of
 the parent, lies where the hash of the word says. Before each sweep the buckets send the sums of
 their tables there and get the totals of all buckets back. A single customer has one table, so
-only cells with several take part.
+only cells with several take part. Each cell draws by a key of its own, so neither seating nor
+scores depend on the number of buckets.
 
 Documents are scored by slices: a slice asks for its words and its cells, and sums up by document
 what comes back.
@@ -146,13 +147,39 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     )
 
 
+class Draws:
+    """Random numbers by key, so that what a cell draws does not depend on the cells beside it."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.step = 0
+        self.own: list[np.random.Generator] = []
+
+    def random(self, active: int) -> np.ndarray:
+        self.step += 1
+        drawn = _mixed(self.keys[:active], np.full(active, self.step, np.uint64))
+        return (drawn >> np.uint64(11)) * 2.0**-53
+
+    def binomial(self, size: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        if not self.own:  # the first that get here are the most
+            self.own = [np.random.Generator(np.random.Philox(int(k))) for k in self.keys[: len(size)]]
+        drawn = zip(self.own, size.tolist(), chance.tolist(), strict=False)
+        return np.fromiter((g.binomial(n, p) for g, n, p in drawn), np.int64, len(size))
+
+
 def tables_of(
-    counts: np.ndarray, weight: np.ndarray, discount: float, random: np.random.Generator
+    counts: np.ndarray,
+    weight: np.ndarray,
+    discount: float,
+    random: np.random.Generator | None = None,
+    keys: np.ndarray | None = None,
 ) -> np.ndarray:
     """Tables that ``counts`` customers of a dish take, one after the other.
 
-    ``weight`` is that of a new table; an old one weighs its customers less the discount."""
+    ``weight`` is that of a new table; an old one weighs its customers less the discount. Drawn
+    from ``random``, or for each cell by its own one of ``keys``."""
     order = np.argsort(-counts, kind="stable")
+    random = Draws(keys[order]) if keys is not None else random
     left, a = counts[order], weight[order]
     taken = np.ones(len(counts))
     seated = 1
@@ -335,8 +362,9 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
                 in_context = np.concatenate([_unpack(r["b"]) for r in answers])[place[len(words) :]]
                 parent = (in_parent - ROOT_DISCOUNT) / (ROOT_STRENGTH + every)
                 weight = (STRENGTH + DISCOUNT * in_context) * parent
-                random = np.random.default_rng([seed, sweep, row["bucket"]])
-                tables = tables_of(counts, weight, DISCOUNT, random)
+                run = np.full(len(words), seed * (BURN + SAMPLES) + sweep, np.uint64)
+                keys = _mixed(_mixed(words, contexts), run)
+                tables = tables_of(counts, weight, DISCOUNT, keys=keys)
             return _notes([_note(row["bucket"], "moving", 0, row["a"], row["b"], row["c"], _pack(tables))])
 
         return of_bucket
