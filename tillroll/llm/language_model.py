@@ -40,12 +40,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tillroll.llm.common import forget, id_bucket, ship, store, table
+from tillroll.llm.common import (
+    forget,
+    give_back_memory,
+    giving_back,
+    id_bucket,
+    ship,
+    store,
+    table,
+)
 from tillroll.llm.shingles import by_bucket
 
 FOLDS, HELD_OUT = 7, 2
@@ -54,7 +63,7 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 100.0
 BURN, SAMPLES = 2, 3
 SINGLE = 256
 SLICE = 2000
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 1_000_000
 #: One of so many documents tells which words are hot: those with more than a quarter of a bucket.
 HOT_PART = 64
 END = xxh3_64_intdigest(b"", seed=1)
@@ -226,7 +235,8 @@ def _notes(rows: list[tuple]) -> pa.Table:
 
 def _of_kind(block: pa.Table, kind: str) -> list[dict]:
     """Rows of a kind in one order."""
-    return sorted((r for r in block.to_pylist() if r["kind"] == kind), key=lambda r: r["source"])
+    rows = block.filter(pc.equal(block.column("kind"), kind)).to_pylist()
+    return sorted(rows, key=lambda r: r["source"])
 
 
 def hot_words(learned: DataFrame, buckets: int) -> np.ndarray:
@@ -263,6 +273,7 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
             for at in range(0, large.num_rows, SLICE):
+                give_back_memory()
                 texts = large.column("text").slice(at, SLICE).to_pylist()
                 hashes, place, _, before = tokens(texts)
                 keys, counts = np.unique(place * len(hashes) + before, return_counts=True)
@@ -373,13 +384,13 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
         return frame.where(F.col("kind") == kind)
 
     counted = learned.select("text").mapInArrow(count, NOTE_SCHEMA)
-    merged = store(counted.groupBy("bucket").applyInArrow(merge, NOTE_SCHEMA), "cells")
-    owned = store(of(merged, "whole").groupBy("bucket").applyInArrow(own, NOTE_SCHEMA), "owned")
+    merged = store(counted.groupBy("bucket").applyInArrow(giving_back(merge), NOTE_SCHEMA), "cells")
+    owned = store(of(merged, "whole").groupBy("bucket").applyInArrow(giving_back(own), NOTE_SCHEMA), "owned")
     moving = of(merged, "moving")
     kept, passed = [], []
     for sweep in range(BURN + SAMPLES + 1):
         reports = moving.mapInArrow(report, NOTE_SCHEMA).unionByName(owned)
-        totals = store(reports.groupBy("bucket").applyInArrow(total, NOTE_SCHEMA), "totals")
+        totals = store(reports.groupBy("bucket").applyInArrow(giving_back(total), NOTE_SCHEMA), "totals")
         passed.append(totals)
         if sweep > BURN:  # a seating that is kept, by its place
             number = F.lit(sweep - BURN - 1).cast("long")
@@ -391,7 +402,7 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
             # One row for each owner.
             every = sum(int(_unpack(r["c"])[0]) for r in of(totals, "tables").select("c").collect())
             given = moving.unionByName(of(totals, "answer")).groupBy("bucket")
-            moving = store(given.applyInArrow(seat(sweep, every), NOTE_SCHEMA), "seating")
+            moving = store(given.applyInArrow(giving_back(seat(sweep, every)), NOTE_SCHEMA), "seating")
             passed.append(moving)
 
     def assemble(block: pa.Table) -> pa.Table:
@@ -426,7 +437,7 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
     parts = of(merged, "cells").unionByName(owned)
     for part in kept:
         parts = parts.unionByName(part)
-    model = store(parts.groupBy("bucket").applyInArrow(assemble, MODEL_SCHEMA), "seatings")
+    model = store(parts.groupBy("bucket").applyInArrow(giving_back(assemble), MODEL_SCHEMA), "seatings")
     forget(spark, merged, owned, *passed)
     return model
 
@@ -516,6 +527,7 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
     learned = read.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
     hot = hot_words(learned, buckets)
     model = _train(learned, buckets, hot, seed)
+    spark._jvm.System.gc()  # what was shuffled for training goes once nothing refers to it
     totals = np.zeros(SAMPLES + 2)
     # One row for each place.
     for row in (
@@ -528,28 +540,27 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A slice asks owners for names and buckets for cells, in order of both, and gives its
-        own head: documents, places of each cell's names, and the cells of each document."""
+        own head: documents, the place of each token's name, and the bucket of each cell."""
         task, number = TaskContext.get().partitionId(), 0
         for large in batches:
             for at in range(0, large.num_rows, SLICE):
+                give_back_memory()
                 batch = large.slice(at, SLICE)
                 source = task * (1 << 32) + number
                 number += 1
                 hashes, place, document, before = tokens(batch.column("text").to_pylist())
                 names, rank = _by_owner(hashes, buckets)
-                place, before = rank[place], rank[before]
+                place, before, end = rank[place], rank[before], rank[:1]
                 rows = [
                     _note(owner, "names", source, names[run].tobytes())
                     for owner, run in _runs(_bucket_of(names, buckets))
                 ]
-                keys, cell = np.unique(place * len(names) + before, return_inverse=True)
+                keys = np.unique(place * len(names) + before)
                 words, contexts = keys // len(names), keys % len(names)
                 of = _cell_bucket(names[words], names[contexts], hot, buckets)
                 order = np.argsort(of, kind="stable")
-                where = np.empty(len(order), np.int64)
-                where[order] = np.arange(len(order))
-                words, contexts, of = words[order], contexts[order], of[order]
-                for bucket, run in _runs(of):
+                words, contexts = words[order], contexts[order]
+                for bucket, run in _runs(of[order]):
                     own, cells = np.unique(words[run], return_counts=True)
                     arrays = names[own].tobytes(), _pack(cells), names[contexts[run]].tobytes()
                     rows.append(_note(bucket, "cells", source, *arrays))
@@ -564,9 +575,9 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
                         ids.fill_null(0).to_numpy().tobytes(),
                         flags.astype(np.uint8).tobytes(),
                         _pack(np.bincount(document, minlength=batch.num_rows)),
-                        _pack(words),
-                        _pack(contexts),
-                        _pack(where[cell]),
+                        _pack(place),
+                        _pack(of),
+                        _pack(end),
                     )
                 )
                 yield _batch(rows, NOTE_FIELDS)
@@ -597,7 +608,7 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         head = next(r for r in rows if r["kind"] == "head")
         ids = np.frombuffer(head["a"], np.int64)
         flags = np.frombuffer(head["b"], np.uint8)
-        lengths, words, contexts, cell = (_unpack(head[n]) for n in "cdef")
+        lengths, place, of, end = (_unpack(head[n]) for n in "cdef")
 
         def together(kind: str, name: str, rows_each: int) -> np.ndarray:
             parts = [_unpack(r[name]).reshape(rows_each, -1) for r in rows if r["kind"] == kind]
@@ -605,6 +616,13 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
 
         (seen, customers), tables = together("names", "a", 2), together("names", "b", 2 * SAMPLES)
         [counts], seated = together("cells", "a", 1), together("cells", "b", SAMPLES)
+        keys = place * len(seen) + np.r_[end, place[:-1]]
+        keys, cell = np.unique(keys, return_inverse=True)
+        words, contexts = keys // len(seen), keys % len(seen)
+        # Answers come in order of bucket.
+        back = np.empty(len(of), np.int64)
+        back[np.argsort(of, kind="stable")] = np.arange(len(of))
+        counts, seated = counts[back], seated[:, back]
         above = chance_above(seen, tables[:SAMPLES], totals)
         whole = np.zeros(len(words))
         for n in range(SAMPLES):  # a sample at a time, for less memory
@@ -614,14 +632,13 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         logs = np.log10(whole / SAMPLES)
         bases = np.log10((seen + 1) / (totals[-1] + totals[-2] + 1))
         document = np.repeat(np.arange(len(ids)), lengths)
-        word = words[cell]
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=flags >= 2),
                 "held_out": pa.array(flags % 2 == 1),
                 "n_tokens": pa.array(lengths),
-                "n_known": pa.array(np.bincount(document, seen[word] > 0, len(ids)).astype(np.int64)),
-                "base_score": pa.array(np.bincount(document, bases[word], len(ids))),
+                "n_known": pa.array(np.bincount(document, seen[place] > 0, len(ids)).astype(np.int64)),
+                "base_score": pa.array(np.bincount(document, bases[place], len(ids))),
                 "score": pa.array(np.bincount(document, logs[cell], len(ids))),
             }
         )
@@ -633,9 +650,9 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         "bucket", F.lit("model").alias("kind"), F.lit(None).cast("long").alias("source"),
         *(F.lit(None).cast("binary").alias(n) for n in "abcdef"), *MODEL_FIELDS[1:],
     )
-    parts = asked.unionByName(models).groupBy("bucket").applyInArrow(answer, NOTE_SCHEMA)
+    parts = asked.unionByName(models).groupBy("bucket").applyInArrow(giving_back(answer), NOTE_SCHEMA)
     scored = parts.groupBy("source").applyInArrow(
-        gather,
+        giving_back(gather),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double",
     )
