@@ -46,8 +46,8 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that contain no benchmark item; rows with one id or none are told apart by text."""
+    return decontamination.decontaminate_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

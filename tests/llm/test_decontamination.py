@@ -1,6 +1,7 @@
 import random
 
 from cases import PASSAGE, shingles
+from tillroll.llm import decontamination
 from tillroll.llm.decontamination import decontaminate, find_items, item_table, signatures
 
 ITEMS = [
@@ -49,6 +50,26 @@ def test_odd_documents_and_items(spark, odd):
     )
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark, documents_of):
+    import corpus_pipeline
+
+    item = " ".join(f"w{i}" for i in range(24))
+    docs = [
+        (doc, text, "en", "a") for doc in (None, 7) for text in (item, "a clean text", None, "another")
+    ]
+    path = corpus_pipeline.table
+    try:
+        corpus_pipeline.table = lambda *_: benchmark(spark, [(1, item)])
+        left = corpus_pipeline.drop_leaked(spark, documents_of(docs), "")
+        none = corpus_pipeline.drop_leaked(spark, left, "")
+    finally:
+        corpus_pipeline.table = path
+    kept = sorted(map(str, [d[:2] for d in docs if d[1] != item]))
+    assert sorted(str((r.doc_id, r.text)) for r in left.collect()) == kept
+    assert none.count() == len(kept)
+    assert decontamination.decontaminate_rows(left, benchmark(spark, [])).count() == len(kept)
+
+
 def test_border_of_containment_in_long_documents(spark, documents_of):
     random.seed(4)
     vocabulary = [f"v{i}" for i in range(5000)]

@@ -159,6 +159,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, percent: int = PER
     return documents.join(leaked, same, "left_anti")
 
 
+def decontaminate_rows(
+    documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``documents`` whose own text contains no item, whatever other rows share the id."""
+    key = F.md5(F.col("text").cast("binary"))
+    keyed = documents.select(key.alias("doc_id"), "text")
+    found = find_items(keyed, benchmark, percent)
+    found = store(found.select(F.col("doc_id").cast("string").alias("leaked")).distinct(), "leaked")
+    leaked = bounded_broadcast(found, BROADCAST_ROWS)
+    same = F.md5(documents["text"].cast("binary")) == leaked["leaked"]
+    return documents.join(leaked, same, "left_anti")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
