@@ -98,6 +98,13 @@ def test_revenue_tolerance(good):
     assert mismatches("0.02").mismatches == 3 and not mismatches("0.02").passed
 
 
+def test_revenue_of_a_price_too_large_to_check(good):
+    large = good.withColumn("Price", F.lit(1e10))
+    assert quality.revenue_integrity(large).first().mismatches == good.count()
+    nothing = good.withColumn("Price", F.lit(None).cast("double"))
+    assert quality.revenue_integrity(nothing.withColumn("Revenue", F.lit(None).cast("decimal(18,2)"))).first().passed
+
+
 def test_gate(good):
     def enforce(df):
         quality.enforce(quality.expectations(df), quality.revenue_integrity(df))

@@ -128,7 +128,8 @@ def revenue_integrity(cleaned: DataFrame) -> DataFrame:
     """Lines whose revenue differs from quantity times price by more than a penny.
 
     Counted in whole numbers, not as the revenue itself was made: the price in units of
-    10^-8, the product and the revenue in pennies. A product without revenue is a mismatch.
+    10^-8, the product and the revenue in pennies. A product without revenue is a mismatch, and so
+    is a line with quantity and price whose product is too large to be formed.
     """
     units = F.round(F.col("Price") * 1e8).try_cast("decimal(18,0)")
     product = (units * F.col("Quantity").cast("decimal(19,0)")).try_cast("decimal(30,0)")
@@ -136,7 +137,13 @@ def revenue_integrity(cleaned: DataFrame) -> DataFrame:
         (F.abs(product) + F.lit(500_000)) / F.lit(1_000_000).cast("decimal(7,0)")
     )
     gap = F.abs((F.col("Revenue") * 100).cast("decimal(33,0)") - pennies)
-    wrong = (gap > PENNIES_APART) | (F.col("Revenue").isNull() & product.isNotNull())
+    formed = product.isNotNull()
+    unchecked = F.col("Price").isNotNull() & F.col("Quantity").isNotNull() & ~formed
+    wrong = (
+        F.coalesce(gap > PENNIES_APART, F.lit(False))
+        | (F.col("Revenue").isNull() & formed)
+        | unchecked
+    )
     counts = cleaned.agg(F.count_if(wrong).alias("mismatches"))
     return counts.select("mismatches", (F.col("mismatches") == 0).alias("passed"))
 
