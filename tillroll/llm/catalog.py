@@ -14,6 +14,7 @@ from tillroll.llm import (
     line_dedup,
     mixing,
     quality,
+    substring_dedup,
     token_output,
     topk_search,
     url_filters,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_output": token_output.op9_token_output,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -37,4 +39,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_filters.OP2_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op12_substring_dedup": substring_dedup.OP12_SQL,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import string
 import tempfile
 import zipfile
@@ -23,6 +24,9 @@ GAP = r"[\x20\x09-\x0D]+"
 
 #: Rows that go to a Python worker at once, where the session does not say it.
 ARROW_ROWS = "2000"
+ARROW_BYTES = "16m"
+#: What Spark has for the bytes where nobody set them.
+SPARKS_BYTES = "67108864b"
 _shipped: set[str] = set()
 
 
@@ -44,15 +48,26 @@ def giving_back(of_group: Callable) -> Callable:
     return wrapped
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let the driver collect its garbage after a large step.
+
+    Spark deletes the shuffle files of a finished job when the driver no longer knows its plan,
+    which a driver with memory to spare finds out late."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Make the Python workers ready: send them this package's code, once for each
-    application, and bound what they get at once.
+    application, and bound what they get at once, in rows and in bytes.
 
     Workers cannot import what only the driver's ``sys.path`` shows. Spark copies the archive
     to every executor, those that come later too.
     """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) in (None, "10000"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == SPARKS_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
