@@ -14,6 +14,7 @@ from tillroll.llm import (
     line_dedup,
     mixing,
     quality,
+    ranked_search,
     substring_dedup,
     token_output,
     topk_search,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_output": token_output.op9_token_output,
     "op10_quality_classifier": quality.op10_quality_classifier,
     "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_ranked_search": ranked_search.op13_ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -40,4 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_topk_search": topk_search.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op12_substring_dedup": substring_dedup.OP12_SQL,
+    "op13_ranked_search": ranked_search.OP13_SQL,
 }
