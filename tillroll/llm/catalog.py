@@ -19,6 +19,7 @@ from tillroll.llm import (
     token_output,
     topk_search,
     url_filters,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_output": token_output.op9_token_output,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_substring_dedup": substring_dedup.op12_substring_dedup,
     "op13_ranked_search": ranked_search.op13_ranked_search,
 }
