@@ -38,6 +38,16 @@ def test_odd_urls(spark):
     assert got == {i: brute(u, RULES) for i, u in enumerate(urls * 2)}
 
 
+def test_the_last_code_point_may_go_on(spark):
+    """What follows a prefix may begin with any character, the last of all included."""
+    end = "\U0010ffff"
+    urls = [f"http://a.com/{end}x", f"http://{end}z.com/a", f"http://{end}{end}.com/{end}{end}", f"http://com{end}/a"]
+    urls += [f"http://a.com/é{end}", "http://a.net/fr/\ufffd\U00010000", f"http://{end}.net/es/{end}"]
+    got = judged(spark, urls, RULES)
+    assert [got[i][2] for i in range(7)] == ["com/", "com/", "com/", None, "com/", "net/fr/", "net/es/"]
+    assert got == {i: brute(u, RULES) for i, u in enumerate(urls)}
+
+
 def test_nested_rules_over_partitions(spark):
     random.seed(5)
     hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "ab.com", "org"]

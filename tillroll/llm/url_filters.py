@@ -44,8 +44,8 @@ RULES = [
     (BLOCK, "net", "/fr/"),
 ]
 
-#: After the last key that starts with a prefix: no text holds a code point above this one.
-END = "\U0010ffff"
+#: After the last key that starts with a prefix: no UTF-8 text holds this byte.
+END = "FF"
 
 
 @dataclass
@@ -79,19 +79,21 @@ def sweep(points: DataFrame, prefixes: DataFrame, partitions: int) -> Swept:
     """
     carried = [c for c in points.columns if c != "key"]
     body = F.struct(*carried) if carried else F.struct(F.lit(0).alias("none"))
-    # At one key, what opens comes before the points; END sorts behind all that begin alike.
+    # Keys are compared as bytes. At one key, what opens comes before the points; END sorts
+    # behind all that begin alike.
+    key = F.col("key").cast("binary").alias("key")
     opening = prefixes.select(
-        "key", F.lit(0).alias("_kind"), F.col("key").alias("_prefix"), F.lit(1).alias("_step")
+        key, F.lit(0).alias("_kind"), F.col("key").alias("_prefix"), F.lit(1).alias("_step")
     )
     closing = prefixes.select(
-        F.concat("key", F.lit(END)).alias("key"),
+        F.concat(F.col("key").cast("binary"), F.unhex(F.lit(END))).alias("key"),
         F.lit(2).alias("_kind"),
         F.col("key").alias("_prefix"),
         F.lit(-1).alias("_step"),
     )
     nothing = opening.unionByName(closing).withColumn("_body", F.lit(None).cast(_type(points, body)))
     shown = points.select(
-        "key",
+        key,
         F.lit(1).alias("_kind"),
         F.lit(None).cast("string").alias("_prefix"),
         F.lit(0).alias("_step"),
@@ -134,10 +136,11 @@ def sweep(points: DataFrame, prefixes: DataFrame, partitions: int) -> Swept:
     slots = range(1, deepest + 1)
     # What each partition finds open: the last opening at each depth before it.
     last = opened.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("_openings"),
         *(
             F.max_by("_prefix", F.when(F.col("_depth") == k, F.struct(*order))).alias(f"_last{k}")
             for k in slots
-        )
+        ),
     )
     found = (
         every.join(last, "_part", "left")
@@ -166,7 +169,7 @@ def sweep(points: DataFrame, prefixes: DataFrame, partitions: int) -> Swept:
     whole = F.array(*(f"_slot{k}" for k in slots)) if deepest else F.array().cast("array<string>")
     stack = F.slice(whole, F.lit(1), F.col("_depth").cast("int"))
     rows = held.select(
-        "key", *(F.col(f"_body.{c}").alias(c) for c in carried), stack.alias("stack")
+        *(F.col(f"_body.{c}").alias(c) for c in carried), stack.alias("stack")
     )
     return Swept(rows, [stored, opened])
 
