@@ -9,16 +9,20 @@ SCHEMA = "vec_id long, embedding array<float>, label int, vector string, rank st
 
 
 def brute(rows, k=5, every=50):
-    usable = {}
+    """Every row is a candidate for every query but itself, whatever its id."""
+    usable = []
     for vec, values, *_ in rows:
         if vec is None or not values or any(v is None or not math.isfinite(v) for v in values):
             continue
-        whole = [math.floor(256 * float(np.float32(v))) for v in values]
-        usable[vec] = min(usable.get(vec, whole), whole)
+        usable.append((vec, [math.floor(256 * float(np.float32(v))) for v in values]))
     out = []
-    for q, v in usable.items():
+    for place, (q, v) in enumerate(usable):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in usable.items() if c != q)  # noqa: B905
+            scores = sorted(
+                (-sum(a * b for a, b in zip(v, w)), c)  # noqa: B905
+                for other, (c, w) in enumerate(usable)
+                if other != place
+            )
             out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -38,6 +42,21 @@ def test_odd_vectors(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_rows_that_share_an_id_all_count(spark):
+    rows = [(50, [1.0]), (7, [0.1]), (7, [0.9]), (8, [0.5]), (50, [-1.0])]
+    assert run(spark, rows) == brute(rows)
+    assert (50, 1, 7, 230 * 256) in run(spark, rows)
+
+
+@pytest.mark.parametrize(("pivots", "tree_rows"), [(7, 40), (1, 25), (64, 8)])
+def test_many_pivots_pieces_and_queries(spark, pivots, tree_rows):
+    random.seed(2)
+    rows = [(i, [random.gauss(0, 0.3) for _ in range(4)]) for i in range(500)]
+    rows += [(600 + i, rows[11][1]) for i in range(150)]
+    got = run(spark, rows, pivots_at_most=pivots, tree_rows=tree_rows, every=3)
+    assert got == brute(rows, every=3)
+
+
 def test_few_and_none(spark):
     assert run(spark, []) == []
     assert run(spark, [(50, [0.5])]) == []
