@@ -18,13 +18,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     round is stored, so that its work is neither repeated nor lost. Edges from a node to
     itself name a node without neighbours. Nulls are ignored; no edges give no rows.
     """
-    given = edges.where("a IS NOT NULL AND b IS NOT NULL")
-    links = store(
-        given.where("a <> b")
+    # What gives the edges may be a long search: it runs once, here.
+    given = store(
+        edges.where("a IS NOT NULL AND b IS NOT NULL")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
-        "links",
+        "edges",
     )
+    links, stored = given.where("a <> b"), []
     sign = _sign(links)
     while sign[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -48,8 +49,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         following = store(small, "small-star")
         after = _sign(following)
-        forget(edges.sparkSession, links, large)
-        links, settled = following, after == sign
+        forget(edges.sparkSession, large, *stored)
+        links, stored, settled = following, [following], after == sign
         sign = after
         if settled:
             break
@@ -57,7 +58,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     alone = given.select(F.explode(F.array("a", "b")).alias("node"))
     found = links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(heads)
     named = found.unionByName(alone.select("node", F.col("node").alias("label")))
-    return store(named.groupBy("node").agg(F.min("label").alias("label")), "components")
+    result = store(named.groupBy("node").agg(F.min("label").alias("label")), "components")
+    forget(edges.sparkSession, given, *stored)
+    return result
 
 
 def _sign(links: DataFrame) -> tuple:
