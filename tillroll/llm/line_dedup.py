@@ -1,10 +1,10 @@
 """Lines that occur in many documents are dropped from all but one of them.
 
-Lines are taken apart with their positions, normalised and hashed. A first aggregate leaves
-one row for each document and line key, a second counts the documents of each key with
-partial sums in every task, so that a line in a third of all documents reaches its one task
-as a few rows. Only keys over the threshold come back to their lines. That join may have hot
-keys; both sides come straight from shuffles, so adaptive execution can split them. The
+Lines are taken apart with their positions, normalised and hashed once, and stored. A first
+aggregate leaves one row for each document and line key, a second counts the documents of each
+key with partial sums in every task, so that a line in a third of all documents reaches its one
+task as a few rows. Only keys over the threshold, stored too, come back to their lines. That
+join may have hot keys; both sides are stored tables, so adaptive execution splits them. The
 positions to drop are gathered for each document, and the document is put together again from
 the positions that remain.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WHITE, ascii_lower, table
+from tillroll.llm.common import WHITE, ascii_lower, store, table
 
 MIN_LENGTH = 20
 MIN_DOCUMENTS = 3
@@ -42,21 +42,23 @@ def dedup_lines(
     """Per row: doc_id, n_lines, n_dropped and the text that is left, as ``kept``."""
     # A row is told apart by its id and text; rows equal in both fare alike.
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("body"))
-    keyed = (
+    keyed = store(
         rows.select(
             "doc_id", "body", F.posexplode(lines_of(F.col("text"))).alias("position", "content")
         )
         .select("doc_id", "body", "position", line_key(F.col("content")).alias("key"))
         .where(F.length("key") >= min_length)
-        .select("doc_id", "body", "position", F.unhex(F.md5("key")).alias("key"))
+        .select("doc_id", "body", "position", F.unhex(F.md5("key")).alias("key")),
+        "keyed-lines",
     )
-    repeated = (
+    repeated = store(
         keyed.select("key", "doc_id")
         .distinct()
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("documents"), F.max("doc_id").alias("keeper"))
         .where(F.col("documents") >= min_documents)
-        .select("key", "keeper")
+        .select("key", "keeper"),
+        "repeated-lines",
     )
     drops = (
         keyed.join(repeated, "key")
