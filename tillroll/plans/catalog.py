@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators import aggregates, cleaning, profiling, quality, reports, star
+from pyspark.sql import functions as F
+
+from tillroll.operators import (
+    aggregates,
+    cleaning,
+    profiling,
+    quality,
+    reports,
+    rollups,
+    snapshots,
+    star,
+)
+from tillroll.plans.event_catalog import QUERIES as EVENT_QUERIES
 from tillroll.plans.warehouse import build_star
 from tillroll.sources.invoice_csv import read_lines
 from tillroll.sources.order_lines import order_lines
@@ -72,6 +84,31 @@ def _csv_ingest(raw: DataFrame) -> DataFrame:
     return read_lines(raw.sparkSession, path)
 
 
+def _later_load(cleaned: DataFrame) -> DataFrame:
+    """The cleaned lines as a second load might have them, with changes by product number: some
+    products gone, some recounted, some without description, some lines twice, some new."""
+    code = F.col("StockCode").cast("bigint")
+    later = cleaned.where(code % 17 != 0).withColumns(
+        {
+            "Quantity": F.when(code % 19 == 0, F.col("Quantity") + 1).otherwise(F.col("Quantity")),
+            "Description": F.when(code % 23 != 0, F.col("Description")),
+        }
+    )
+    twice = later.where(code % 29 == 0)
+    new = later.where(code % 31 == 0).withColumn("Invoice", F.concat(F.lit("N"), "Invoice"))
+    return later.unionByName(twice).unionByName(new)
+
+
+def _load_changes(cleaned: DataFrame) -> DataFrame:
+    key = ["Invoice", "StockCode"]
+    changes = snapshots.changes_by_key(cleaned, _later_load(cleaned), key)
+    return changes.withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
+def _load_summary(cleaned: DataFrame) -> DataFrame:
+    return snapshots.change_summary(snapshots.changes_by_row(cleaned, _later_load(cleaned)))
+
+
 QUERIES: dict[str, Query] = {
     # Sources
     "csv_ingest": _on_raw(_csv_ingest),
@@ -120,4 +157,12 @@ QUERIES: dict[str, Query] = {
     "export_monthly": _on_cleaned(_export_monthly),
     "export_top_products": _on_cleaned(_export_top_products),
     "export_by_country": _on_cleaned(_export_by_country),
+    # Several levels at once, and two loads compared
+    "sales_rollup": _on_cleaned(rollups.sales_rollup),
+    "sales_cube": _on_cleaned(rollups.sales_cube),
+    "sales_grouping_sets": _on_cleaned(rollups.sales_grouping_sets),
+    "load_changes": _on_stored(_load_changes),
+    "load_change_summary": _on_stored(_load_summary),
+    # Events
+    **EVENT_QUERIES,
 }

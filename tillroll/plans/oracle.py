@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillroll import schemas
+from tillroll.plans.event_oracle import ORACLE_SQL as EVENT_SQL
 from tillroll.operators.quality import BETWEEN, DISTINCT_BETWEEN, EXISTS, RETAIL_SUITE
 from tillroll.sources.order_lines import COUNTRIES
 
@@ -378,4 +379,101 @@ BODIES = {
         GROUP BY country, region_group""",
 }
 
-ORACLE_SQL = {name: _sql(body) for name, body in BODIES.items()}
+_LATER = """
+    later AS (
+        SELECT * REPLACE (
+            CASE WHEN CAST("StockCode" AS BIGINT) % 19 = 0 THEN "Quantity" + 1
+                 ELSE "Quantity" END AS "Quantity",
+            CASE WHEN CAST("StockCode" AS BIGINT) % 23 <> 0 THEN "Description" END
+                AS "Description")
+        FROM cleaned WHERE CAST("StockCode" AS BIGINT) % 17 <> 0),
+    second AS (
+        SELECT * FROM later
+        UNION ALL SELECT * FROM later WHERE CAST("StockCode" AS BIGINT) % 29 = 0
+        UNION ALL SELECT * REPLACE ('N' || "Invoice" AS "Invoice") FROM later
+                  WHERE CAST("StockCode" AS BIGINT) % 31 = 0)"""
+
+_VALUES = (
+    "Description", "Quantity", "InvoiceDate", "Price", "Customer ID", "Country", "Revenue",
+    "Year", "Month", "Day", "Hour", "Weekday",
+)
+
+
+def _with(body: str, *parts: str) -> str:
+    """``body`` over the cleaned lines and further parts that read them."""
+    head = _sql("SELECT 1 FROM cleaned")
+    return f"{head[: head.rindex(')') + 1]},{','.join(parts)}{body}"
+
+
+def _load_changes_sql() -> str:
+    differs = ", ".join(
+        f"""CASE WHEN any_value("{c}") FILTER (WHERE load = 1) IS DISTINCT FROM
+             any_value("{c}") FILTER (WHERE load = 2) THEN '{c}' END"""
+        for c in _VALUES
+    )
+    row = ", ".join(f'"{c}"' for c in _VALUES)
+    return _with(
+        f"""
+    SELECT "Invoice", "StockCode",
+           CASE WHEN b = 0 THEN 'added' WHEN a = 0 THEN 'removed' ELSE 'changed' END AS status,
+           b AS rows_before, a AS rows_after,
+           CASE WHEN a = 1 AND b = 1 THEN named END AS changed_columns
+    FROM (
+        SELECT "Invoice", "StockCode", count(*) FILTER (WHERE load = 1) AS b,
+               count(*) FILTER (WHERE load = 2) AS a,
+               list_sort(list(({row})) FILTER (WHERE load = 1)) AS rows_b,
+               list_sort(list(({row})) FILTER (WHERE load = 2)) AS rows_a,
+               concat_ws(',', {differs}) AS named
+        FROM both_loads GROUP BY 1, 2)
+    WHERE rows_b IS DISTINCT FROM rows_a""",
+        _LATER,
+        """
+    both_loads AS (
+        SELECT 1 AS load, * FROM cleaned UNION ALL SELECT 2 AS load, * FROM second)""",
+    )
+
+
+def _load_summary_sql() -> str:
+    kinds = {
+        "added": "a - b", "removed": "b - a", "kept": "least(a, b)", "repeated": "a - 1",
+    }
+    columns = ", ".join(f'"{c}"' for c in ("Invoice", "StockCode", *_VALUES))
+    body = "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS status, CAST(sum(greatest({n}, 0)) AS BIGINT) AS rows,
+            count(*) FILTER (WHERE {n} > 0) AS different FROM counted"""
+        for name, n in kinds.items()
+    )
+    return _with(
+        f"\n{body}",
+        _LATER,
+        f"""
+    counted AS (
+        SELECT count(*) FILTER (WHERE load = 1) AS b, count(*) FILTER (WHERE load = 2) AS a
+        FROM (SELECT 1 AS load, * FROM cleaned UNION ALL SELECT 2, * FROM second)
+        GROUP BY {columns})""",
+    )
+
+
+def _by_sets(keys: tuple[str, ...], sets: str) -> str:
+    named = ", ".join(f'"{k}"' for k in keys)
+    return f"""
+        SELECT {named}, GROUPING({named}) AS level, {_money('"Revenue"')} AS revenue,
+               {_distinct('"Invoice"')} AS orders, {_distinct('"Customer ID"')} AS customers
+        FROM (SELECT *, CASE {_regions.replace("country IN", '"Country" IN')} ELSE 'Other' END
+                AS "Region" FROM cleaned)
+        GROUP BY {sets}"""
+
+
+BODIES |= {
+    "sales_rollup": _by_sets(
+        ("Region", "Country", "Year", "Month"), 'ROLLUP ("Region", "Country", "Year", "Month")'
+    ),
+    "sales_cube": _by_sets(("Region", "Year", "Weekday"), 'CUBE ("Region", "Year", "Weekday")'),
+    "sales_grouping_sets": _by_sets(
+        ("Country", "Year", "Month", "Hour"),
+        'GROUPING SETS (("Country", "Year"), ("Year", "Month"), ("Hour"))',
+    ),
+}
+LOADS = {"load_changes": _load_changes_sql(), "load_change_summary": _load_summary_sql()}
+
+ORACLE_SQL = {**{name: _sql(body) for name, body in BODIES.items()}, **LOADS, **EVENT_SQL}
