@@ -1,0 +1,186 @@
+"""Sketches, histories, pivots and JSON columns on small frames."""
+
+from __future__ import annotations
+
+import json
+import random
+from collections import Counter, defaultdict
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from tillroll.operators import history, pivots, semistructured, sketches
+
+START = datetime(2024, 1, 1)
+
+
+# Sketches
+
+
+def test_sketches_of_days_merge_to_any_range(spark):
+    rng = random.Random(1)
+    rows = [
+        (START + timedelta(hours=rng.randrange(24 * 20)), rng.choice([1, 1, *range(3000)]), rng.gauss(0, 9))
+        for _ in range(20000)
+    ] + [(None, 1, 1.0), (START, None, None)]
+    events = spark.createDataFrame(rows, "ts timestamp_ntz, user_id bigint, value double")
+    daily = sketches.daily_sketches(events)
+    assert daily.count() == 20
+    days = [(date(2024, 1, 1), date(2024, 1, 20)), (date(2024, 1, 3), date(2024, 1, 3)),
+            (date(2024, 1, 2), date(2024, 1, 9)), (date(2025, 1, 1), date(2025, 1, 2)),
+            (date(2024, 1, 5), date(2024, 1, 4)), (date(2023, 12, 1), date(2024, 1, 2))]
+    ranges = spark.createDataFrame(days, "first_day date, last_day date")
+    merged = sketches.merge_ranges(daily, ranges)
+    measured = {(r.first_day, r.last_day): r for r in sketches.measured_errors(merged, events).collect()}
+    assert set(measured) == {days[0], days[1], days[2], days[5]}
+    for (first, last), r in measured.items():
+        own = [x for x in rows if x[0] and first <= x[0].date() <= last]
+        assert r.events == len(own)
+        assert r.exact_items == len({x[1] for x in own} - {None})
+        assert r.items_error < 0.05
+        assert max(r.p50_rank_error, r.p90_rank_error, r.p99_rank_error) < 0.02
+    # Merging reads the daily rows alone, and they are small whatever the day.
+    assert daily.agg(F.max(F.length("items") + F.length("values"))).first()[0] < 40_000
+
+
+# Histories
+
+
+def lines(spark, rows):
+    made = [(c, START + timedelta(days=d, hours=h), Decimal(r)) for c, d, h, r in rows]
+    return spark.createDataFrame(made, "`Customer ID` bigint, InvoiceDate timestamp_ntz, Revenue decimal(31,2)")
+
+
+def test_days_of_customers_against_a_loop(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([0, 0, 0, 1, 2]), rng.randrange(400), rng.randrange(24), rng.randrange(1, 50)) for _ in range(300)]
+    found = history.customer_days(lines(spark, rows), rolling_days=28, pause_days=10).collect()
+    by_day = defaultdict(Decimal)
+    for c, d, _, r in rows:
+        by_day[c, d] += r
+    want = {}
+    for c in {c for c, _ in by_day}:
+        own = sorted(d for k, d in by_day if k == c)
+        run = 0
+        for i, d in enumerate(own):
+            pause = d - own[i - 1] if i else None
+            run += pause is None or pause > 10
+            rolling = sum(by_day[c, e] for e in own if d - 28 < e <= d)
+            want[c, START.date() + timedelta(days=d)] = (by_day[c, d], pause, rolling, run)
+    assert {(r.customer_id, r.day): tuple(r)[2:] for r in found} == want
+
+
+def test_runs_of_activity(spark):
+    frame = lines(spark, [(1, 0, 1, 5), (1, 0, 2, 5), (1, 10, 1, 1), (1, 101, 1, 2), (2, 7, 1, 3)])
+    runs = history.activity_runs(history.customer_days(frame, pause_days=90))
+    day = lambda n: START.date() + timedelta(days=n)
+    assert {tuple(r) for r in runs.collect()} == {
+        (1, 1, day(0), day(10), 2, Decimal(11), None),
+        (1, 2, day(101), day(101), 1, Decimal(2), 91),
+        (2, 1, day(7), day(7), 1, Decimal(3), None),
+    }
+
+
+def test_a_hot_customer_is_one_row_for_a_day_before_it_is_sorted(spark):
+    rows = [(0, i % 50, i % 24, 1) for i in range(5000)] + [(i, 3, 1, 1) for i in range(1, 100)]
+    days = history.customer_days(lines(spark, rows).repartition(4))
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("HashAggregate")  # printed from the top down
+    assert days.where("customer_id = 0").count() == 50
+
+
+# Pivot
+
+
+def test_pivot_with_found_columns(spark):
+    rows = [(1, "b", 5), (1, "b", 6), (1, None, 1), (2, "a", 7), (None, "a", 2)]
+    frame = spark.createDataFrame(rows, "k int, c string, v int")
+    found = pivots.pivot(frame, ["k"], "c", F.col("v"))
+    assert found.columns == ["k", "a", "b", "null"]
+    assert {tuple(r) for r in found.collect()} == {(1, None, 11, 1), (2, 7, None, None), (None, 2, None, None)}
+    filled = pivots.pivot(frame, ["k"], "c", F.col("v"), F.lit(0))
+    assert {tuple(r) for r in filled.collect()} == {(1, 0, 11, 1), (2, 7, 0, 0), (None, 2, 0, 0)}
+    assert pivots.pivot(frame.limit(0), ["k"], "c", F.col("v")).columns == ["k"]
+
+
+def test_pivot_bound_and_names(spark):
+    frame = spark.range(20).select(F.lit(1).alias("k"), F.col("id").alias("c"), F.lit(1).alias("v"))
+    with pytest.raises(pivots.PivotError, match="more than 19"):
+        pivots.pivot(frame, ["k"], "c", F.col("v"), most=19)
+    assert len(pivots.pivot(frame, ["k"], "c", F.col("v"), most=20).columns) == 21
+    same = spark.createDataFrame([(1, "k", 1)], "k int, c string, v int")
+    with pytest.raises(pivots.PivotError, match="named twice"):
+        pivots.pivot(same, ["k"], "c", F.col("v"))
+
+
+def test_pivot_is_one_aggregate(spark):
+    frame = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "k int, c string, v int")
+    plan = pivots.pivot(frame, ["k"], "c", F.col("v"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("HashAggregate") == 2
+
+
+# JSON columns
+
+TEXTS = [
+    '{"k": 1, "x": true, "s": "a"}', '{"k": 2, "x": false, "s": "b", "o": {"p": [1, 2]}}',
+    '{"k": "three", "x": 1, "s": 5}', '{"k": 4.5, "s": null}', '{"k": 5, "d": 1.5}', '{"d": 2, "k": 6}',
+    '{"d": 2.25, "it\'s": 1, "a b": "q"}', "{}", "not json", '[1, 2]', '"text"', "5", None, '{"k": 7', "",
+]
+
+
+def json_rows(spark, texts=TEXTS):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, props string")
+
+
+def test_types_of_fields(spark):
+    found = semistructured.field_types(json_rows(spark), "props").collect()
+    assert {(r.field, r.type): r.rows for r in found} == {
+        ("k", "BIGINT"): 4, ("k", "STRING"): 1, ("k", "DOUBLE"): 1, ("x", "BOOLEAN"): 2, ("x", "BIGINT"): 1,
+        ("s", "STRING"): 2, ("s", "BIGINT"): 1, ("s", "VOID"): 1, ("o", "OBJECT"): 1, ("d", "DOUBLE"): 2,
+        ("d", "BIGINT"): 1, ("it's", "BIGINT"): 1, ("a b", "STRING"): 1,
+    }
+
+
+def test_fields_worth_a_column(spark):
+    fields = semistructured.choose_fields(json_rows(spark), "props", least_share=0.2)
+    assert {f.name: f.kind for f in fields} == {"k": "double", "x": "boolean", "s": "string", "d": "double"}
+    few = semistructured.choose_fields(json_rows(spark), "props", least_share=0.0, most=2)
+    assert [f.name for f in few] == ["k", "s"]
+    assert semistructured.choose_fields(json_rows(spark).limit(0), "props") == []
+
+
+def test_nothing_is_lost_in_shredding(spark):
+    fields = [semistructured.Field("k", "bigint"), semistructured.Field("x", "boolean"),
+              semistructured.Field("s", "string"), semistructured.Field("d", "double"),
+              semistructured.Field("it's", "bigint")]
+    found = {r.id: r for r in semistructured.shred(json_rows(spark), "props", fields).collect()}
+    for i, text in enumerate(TEXTS):
+        try:
+            value = json.loads(text) if text is not None else {}
+        except ValueError:
+            value = None
+        row = found[i]
+        assert row.unreadable == (not isinstance(value, dict))
+        if row.unreadable:
+            assert row.rest is None and row.k is None
+            continue
+        together = {f.name: row[f.name] for f in fields if row[f.name] is not None}
+        for name, left in (row.rest or {}).items():
+            assert name not in together
+            try:
+                together[name] = json.loads(left)
+            except ValueError:
+                together[name] = left
+        assert together == {k: v for k, v in value.items() if v is not None}
+    assert found[2].rest == {"k": "three", "x": "1", "s": "5"}
+    assert found[6].rest == {"a b": "q"}
+
+
+def test_shredding_keeps_other_columns_and_moves_nothing(spark):
+    frame = json_rows(spark).withColumn("other", F.lit(1))
+    shredded = semistructured.shred(frame, "props", [semistructured.Field("k", "bigint")])
+    assert shredded.columns == ["id", "other", "k", "rest", "unreadable"]
+    assert "Exchange" not in shredded._jdf.queryExecution().executedPlan().toString()
+    only_rest = semistructured.shred(frame, "props", [])
+    assert Counter(r.unreadable for r in only_rest.collect())[True] == 6

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from tillroll.operators import (
     aggregates,
     cleaning,
+    history,
+    pivots,
     profiling,
     quality,
     reports,
@@ -109,6 +110,20 @@ def _load_summary(cleaned: DataFrame) -> DataFrame:
     return snapshots.change_summary(snapshots.changes_by_row(cleaned, _later_load(cleaned)))
 
 
+def _region_months(cleaned: DataFrame) -> DataFrame:
+    return pivots.pivot(
+        rollups.with_region(cleaned),
+        ["Year", "Month"],
+        "Region",
+        F.col("Revenue"),
+        F.lit(0).cast("decimal(38,2)"),
+    )
+
+
+def _activity_runs(cleaned: DataFrame) -> DataFrame:
+    return history.activity_runs(history.customer_days(cleaned))
+
+
 QUERIES: dict[str, Query] = {
     # Sources
     "csv_ingest": _on_raw(_csv_ingest),
@@ -161,6 +176,9 @@ QUERIES: dict[str, Query] = {
     "sales_rollup": _on_cleaned(rollups.sales_rollup),
     "sales_cube": _on_cleaned(rollups.sales_cube),
     "sales_grouping_sets": _on_cleaned(rollups.sales_grouping_sets),
+    "pivot_region_months": _on_stored(_region_months),
+    "customer_days": _on_cleaned(history.customer_days),
+    "activity_runs": _on_cleaned(_activity_runs),
     "load_changes": _on_stored(_load_changes),
     "load_change_summary": _on_stored(_load_summary),
     # Events

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.moments import DAY, micros
-from tillroll.operators import as_of, intervals
+from tillroll.operators import as_of, intervals, semistructured, sketches
 from tillroll.sources.events import as_runs, in_event_time, read_events
 from tillroll.sources.staging import stage
 from tillroll.streaming import event_windows, sessions
@@ -142,6 +142,35 @@ def _same_user_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sketch_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks merged from daily sketches, and whether what they say is near the exact figures."""
+    events = read_events(spark, folder)
+    daily = stage(sketches.daily_sketches(events), "daily-sketches")
+    monday = F.date_trunc("WEEK", F.col("day")).cast("date")
+    weeks = daily.select(monday.alias("first_day")).distinct()
+    weeks = weeks.withColumn("last_day", F.date_add("first_day", 6))
+    merged = stage(sketches.merge_ranges(daily, weeks), "weeks")
+    measured = sketches.measured_errors(merged, events)
+    ranks = F.greatest(*(f"{name}_rank_error" for name in sketches.QUANTILES))
+    return measured.select(
+        "first_day",
+        "last_day",
+        "events",
+        "exact_items",
+        (F.col("items_error") <= 0.05).alias("items_close"),
+        (ranks <= 0.02).alias("quantiles_close"),
+    )
+
+
+def _event_props(spark: SparkSession, folder: str) -> DataFrame:
+    """The properties of events as columns, with how many fields are left over."""
+    events = read_events(spark, folder)
+    fields = semistructured.choose_fields(events, "props")
+    return semistructured.shred(events, "props", fields).withColumn(
+        "rest", F.coalesce(F.size("rest"), F.lit(0))
+    )
+
+
 QUERIES = {
     "event_windows": _window_totals,
     "event_windows_late": _event_windows,
@@ -151,4 +180,6 @@ QUERIES = {
     "asof_recent_purchase": _recent_event,
     "interval_campaigns": _campaign_shipments,
     "interval_sessions": _same_user_overlaps,
+    "sketch_weeks": _sketch_weeks,
+    "event_props": _event_props,
 }

@@ -92,6 +92,15 @@ SELECT event_type, day, count(*) AS shipments,
        CAST(sum(epoch_us(least(a.e, c.e)) - epoch_us(greatest(a.s, c.s))) AS DECIMAL(38,0)) AS micros
 FROM campaigns c JOIN shipments a ON a.s < c.e AND c.s < a.e
 WHERE a.s < a.e AND c.s < c.e GROUP BY 1, 2""",
+    "sketch_weeks": """
+SELECT CAST(date_trunc('week', ts) AS DATE) AS first_day,
+       CAST(date_trunc('week', ts) AS DATE) + 6 AS last_day, count(*) AS events,
+       count(DISTINCT user_id) AS exact_items, true AS items_close, true AS quantiles_close
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+    "event_props": """
+SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       CAST(len(json_keys(props)) - 1 AS INTEGER) AS rest, NOT json_valid(props) AS unreadable
+FROM events""",
     "interval_sessions": f"""{_sessions(2)}
 SELECT a.user_id AS a_user_id, b.user_id AS b_user_id,
        greatest(a.session_start, b.session_start) AS overlap_start,

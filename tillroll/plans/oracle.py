@@ -402,7 +402,7 @@ _VALUES = (
 def _with(body: str, *parts: str) -> str:
     """``body`` over the cleaned lines and further parts that read them."""
     head = _sql("SELECT 1 FROM cleaned")
-    return f"{head[: head.rindex(')') + 1]},{','.join(parts)}{body}"
+    return head[: head.rindex(")") + 1] + "".join(f",{part}" for part in parts) + body
 
 
 def _load_changes_sql() -> str:
@@ -474,6 +474,48 @@ BODIES |= {
         'GROUPING SETS (("Country", "Year"), ("Year", "Month"), ("Hour"))',
     ),
 }
-LOADS = {"load_changes": _load_changes_sql(), "load_change_summary": _load_summary_sql()}
+_DAYS = f"""
+    by_day AS (
+        SELECT "Customer ID" AS customer_id, CAST("InvoiceDate" AS DATE) AS day,
+               {_money('"Revenue"')} AS revenue
+        FROM cleaned GROUP BY 1, 2),
+    since AS (
+        SELECT *, CAST(date_diff('day', lag(day) OVER (PARTITION BY customer_id ORDER BY day), day)
+                    AS INTEGER) AS days_since FROM by_day),
+    days AS (
+        SELECT customer_id, day, revenue, days_since,
+               CAST(sum(revenue) OVER (PARTITION BY customer_id ORDER BY day
+                 RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW) AS DECIMAL(38,2))
+                 AS rolling_revenue,
+               CAST(sum(CASE WHEN days_since <= 90 THEN 0 ELSE 1 END)
+                 OVER (PARTITION BY customer_id ORDER BY day) AS BIGINT) AS run
+        FROM since)"""
+_REGION = f"CASE {_regions.replace('country IN', '"Country" IN')} ELSE 'Other' END"
+LOADS = {
+    "customer_days": _with(" SELECT * FROM days", _DAYS),
+    "activity_runs": _with(
+        """
+        SELECT customer_id, run, min(day) AS first_day, max(day) AS last_day,
+               count(*) AS active_days, CAST(sum(revenue) AS DECIMAL(38,2)) AS revenue,
+               arg_min(coalesce(days_since, -1), day) AS first_pause
+        FROM days GROUP BY 1, 2""",
+        _DAYS,
+    ),
+    "pivot_region_months": _with(
+        " SELECT \"Year\", \"Month\", "
+        + ", ".join(
+            f"CAST(coalesce(sum(\"Revenue\") FILTER (WHERE {_REGION} = '{name}'), 0)"
+            f" AS DECIMAL(38,2)) AS \"{name}\""
+            for name in (*schemas.REGION_GROUPS, schemas.OTHER_REGION)
+        )
+        + " FROM cleaned GROUP BY 1, 2"
+    ),
+}
+LOADS["activity_runs"] = (
+    "SELECT * EXCLUDE (first_pause), nullif(first_pause, -1) AS pause_before FROM ("
+    + LOADS["activity_runs"]
+    + ")"
+)
+LOADS |= {"load_changes": _load_changes_sql(), "load_change_summary": _load_summary_sql()}
 
 ORACLE_SQL = {**{name: _sql(body) for name, body in BODIES.items()}, **LOADS, **EVENT_SQL}
