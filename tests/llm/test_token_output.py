@@ -7,7 +7,8 @@ from cases import ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tillroll.llm.token_output import Encoder, read_tokens, token_digest, write_tokens
+from tillroll.llm import token_output
+from tillroll.llm.token_output import Encoder, read_tokens, slices, token_digest, write_tokens
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +31,28 @@ def test_pieces_give_what_whole_texts_give(encoder, texts):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == whole(encoder, text)
 
 
+def test_batches_are_bounded_by_bytes():
+    texts = ["a" * n for n in (3, 3, 3, 50, 1, 0, 4, 4)] + [None, "é" * 4]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "place": list(range(10))})
+    parts = [p.column("text").to_pylist() for p in slices(batch, "text", 8)]
+    assert sum(parts, []) == texts
+    assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 8 for p in parts)
+    assert list(slices(batch.slice(0, 0), "text", 8)) == []
+
+
+def test_forgetting_pieces_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(token_output, "CACHE_PIECES", 50)
+    small = Encoder(FILE)
+    for n in range(6):
+        texts = [f"word{i * n} common words {i}é again and  again {n}" for i in range(40)] + ["", None]
+        ids, bounds = small.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == whole(small, text)
+        if n % 2:
+            small.rest()
+    assert 0 < len(small.words[True]) < 60
+
+
 def test_round_trip(spark, odd, encoder, tmp_path):
     path = str(tmp_path / "tokens.orc")
     write_tokens(odd, path, FILE, partitions=3)

@@ -12,7 +12,8 @@ document knows its place in the whole.
 Encoding is by the ``tokenizers`` library. Its byte-level split never joins what lies on both
 sides of a blank that is followed by other than white space, so texts are cut there, each
 different piece of a batch is encoded once, and of ``CACHE_PIECES`` encoded pieces those that
-came up again are kept for the next batches. Texts with a blank at the end or before white space are encoded whole.
+came up again are kept for the next batches. Texts with a blank at the end or before white space
+are encoded whole. Batches are bounded by their bytes, so a very long text is a batch of its own.
 
 Defined results: a null or empty text has the end id only. Documents with one id keep one
 order, by hash of the text; null ids come first. Strings of special tokens in a text are
@@ -23,7 +24,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from tillroll.sources.staging import new_folder
 
 END_ID = 2
 CACHE_PIECES = 300_000
-BATCH_DOCUMENTS = 1000
+#: Text that is encoded at once: much, as each different piece of a batch is looked up once.
+BATCH_BYTES = 8 << 20
 #: Pieces that are encoded as one text.
 TOGETHER = 500
 SCHEMA = "doc_id long, part int, first long, ids array<int>"
@@ -52,7 +55,10 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of pieces that it has seen."""
+    """Encodes batches of texts; keeps the ids of pieces that it has seen.
+
+    A piece is a word at the beginning of a text or, far more often, a blank and the word behind
+    it. Both kinds are looked up as Arrow arrays, so that known words never become Python objects."""
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -60,11 +66,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, int] = {}
+        # In a byte-level vocabulary a token has a character for each of its bytes.
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.bytes_of = np.array([len(name or "") for name in names], np.int64)
         self.ids = np.array([END_ID], np.int32)  # piece 0 is the end id
         self.starts = np.array([0], np.int64)
         self.lengths = np.array([1], np.int64)
         self.batches = np.array([0], np.int32)
+        #: Known words behind a blank (True) and at a beginning (False), and their pieces.
+        self.words = {kind: pa.array([], pa.string()) for kind in (True, False)}
+        self.pieces = {kind: np.empty(0, np.int64) for kind in (True, False)}
 
     def rest(self) -> None:
         """Between tasks, keep little, as other work follows in the same process."""
@@ -73,50 +84,67 @@ class Encoder:
 
     def _trim(self) -> None:
         """Forget the pieces that only one batch had; most words of a text are rare."""
-        kept = [(p, n) for p, n in self.known.items() if self.batches[n] > 1]
-        numbers = np.array([0, *(n for _, n in kept)], np.int64)
-        self.known = {p: i for i, (p, _) in enumerate(kept, 1)}
+        numbers = np.flatnonzero(self.batches > 1)
+        numbers = np.r_[0, numbers[numbers > 0]]
+        renamed = np.full(len(self.starts), -1)
+        renamed[numbers] = np.arange(len(numbers))
+        for kind, pieces in self.pieces.items():
+            kept = renamed[pieces] > 0
+            self.words[kind] = self.words[kind].filter(pa.array(kept))
+            self.pieces[kind] = renamed[pieces[kept]]
         starts, self.lengths = self.starts[numbers], self.lengths[numbers]
         self.starts = np.cumsum(self.lengths) - self.lengths
         shift = np.repeat(starts - self.starts, self.lengths)
         self.ids = self.ids[shift + np.arange(len(shift))]
         self.batches = np.ones(len(numbers), np.int32)
 
-    def _add(self, pieces: list[str], joined: bool) -> int:
-        """Encode and keep ``pieces``; the number of the first of them.
-
-        Pieces that all begin with the blank they were cut at are encoded ``joined``, many as
-        one text, and told apart by where their ids begin: that is twice as fast."""
-        first = len(self.starts)
-        step = TOGETHER if joined else 1
-        groups = [pieces[i : i + step] for i in range(0, len(pieces), step)]
-        encoded = self.tokenizer.encode_batch(
-            ["".join(group) for group in groups], add_special_tokens=False
-        )
-        ids, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-        for group, found in zip(groups, encoded, strict=True):
-            ids.append(np.array(found.ids, np.int32))
-            if not joined:
-                lengths.append(np.array([len(found.ids)]))
-                continue
-            begins = np.fromiter((place[0] for place in found.offsets), np.int64, len(found.ids))
-            bounds = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)))
-            owner = np.searchsorted(bounds, begins, "right")
-            lengths.append(np.bincount(owner, minlength=len(group)))
-        lengths, flat = np.concatenate(lengths), np.concatenate(ids)
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [encoding.ids for encoding in found]
+
+    def _add(self, texts: pa.Array, behind_blank: bool) -> int:
+        """Encode and keep pieces; the number of the first of them.
+
+        Those that begin with the blank they were cut at are encoded many as one text, which is
+        twice as fast, and told apart by their bytes."""
+        first, words = len(self.starts), texts.to_pylist()
+        if behind_blank:
+            groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+            found = self._encode([" " + " ".join(group) for group in groups])
+            flat = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+            ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64) + 1)
+            reached = np.cumsum(self.bytes_of[flat])
+            stops = np.searchsorted(reached, ends) + 1
+            if not np.array_equal(reached[stops - 1], ends):
+                raise ValueError("the tokenizer joins what lies on both sides of a blank")
+            lengths = np.diff(stops, prepend=0)
+        else:
+            found = self._encode(words)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, flat])
         self.batches = np.concatenate([self.batches, np.zeros(len(lengths), np.int32)])
         return first
 
-    def _numbers(self, pieces: Iterable[str], joined: bool) -> np.ndarray:
-        pieces = list(pieces)
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if new:
-            first = self._add(new, joined)
-            self.known.update(zip(new, range(first, first + len(new)), strict=True))
-        numbers = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+    def _numbers(self, words: pa.Array, behind_blank: bool) -> np.ndarray:
+        """The pieces of different words."""
+        place = pc.index_in(words, value_set=self.words[behind_blank])
+        new = place.is_null()
+        fresh = words.filter(new)
+        if len(fresh):
+            first = self._add(fresh, behind_blank)
+            held = len(self.words[behind_blank])
+            self.words[behind_blank] = pa.concat_arrays([self.words[behind_blank], fresh])
+            self.pieces[behind_blank] = np.r_[
+                self.pieces[behind_blank], np.arange(first, first + len(fresh))
+            ]
+            place = place.fill_null(-1).to_numpy().copy()
+            place[new.to_numpy(zero_copy_only=False)] = np.arange(held, held + len(fresh))
+        else:
+            place = place.to_numpy()
+        numbers = self.pieces[behind_blank][place]
         self.batches[numbers] += 1
         return numbers
 
@@ -138,23 +166,24 @@ class Encoder:
         bounds = cut.offsets.to_numpy()
         bounds = bounds.astype(np.int64) - bounds[0]
         coded = cut.flatten().dictionary_encode()
-        places = coded.indices.to_numpy()
-        words = coded.dictionary.to_pylist()
+        places, words = coded.indices.to_numpy(), coded.dictionary
         opening = np.zeros(len(places), bool)
         opening[bounds[:-1]] = True
+        inner = np.zeros(len(words), bool)
+        inner[places[~opening]] = True
         number = np.zeros(len(words), np.int64)
-        inner = np.unique(places[~opening])
-        number[inner] = self._numbers((" " + words[i] for i in inner), True)
+        number[inner] = self._numbers(words.filter(pa.array(inner)), True)
         pieces = number[places]
         heads, back = np.unique(places[opening], return_inverse=True)
-        pieces[opening] = self._numbers((words[i] for i in heads), False)[back]
+        pieces[opening] = self._numbers(words.take(pa.array(heads)), False)[back]
         if len(whole):
-            first = self._add(texts.take(pa.array(whole)).to_pylist(), False)
+            first = self._add(texts.take(pa.array(whole)), False)
             pieces[bounds[whole]] = np.arange(first, first + len(whole))
         pieces = np.insert(pieces, bounds[1:], 0)  # piece 0 is the end id
         lengths = self.lengths[pieces]
         stops = np.cumsum(lengths)
-        # 32 bits hold the ids of a batch; what is largest here is as small as can be.
+        # 32 bits hold the ids of a batch, which is bounded by bytes; what is largest here is
+        # as small as can be.
         at = np.repeat((self.starts[pieces] - (stops - lengths)).astype(np.int32), lengths)
         at += np.arange(len(at), dtype=np.int32)
         ids = self.ids[at]
@@ -162,6 +191,18 @@ class Encoder:
         return ids, np.concatenate([[0], ends])
 
 
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most so many bytes of text, or with one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _encoder(tokenizer_file: str) -> Encoder:
     if tokenizer_file not in _encoders:
         _encoders[tokenizer_file] = Encoder(tokenizer_file)
@@ -187,8 +228,7 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(tokenizer_file), 0
         for large in batches:
-            for at in range(0, large.num_rows, BATCH_DOCUMENTS):
-                batch = large.slice(at, BATCH_DOCUMENTS)
+            for batch in slices(large, "text", BATCH_BYTES):
                 ids, bounds = encoder.encode(batch.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [
