@@ -13,7 +13,8 @@ Encoding is by the ``tokenizers`` library. Its byte-level split never joins what
 sides of a blank that is followed by other than white space, so texts are cut there, each
 different piece of a batch is encoded once, and of ``CACHE_PIECES`` encoded pieces those that
 came up again are kept for the next batches. Texts with a blank at the end or before white space
-are encoded whole. Batches are bounded by their bytes, so a very long text is a batch of its own.
+are encoded whole. A mark behind a word is a piece of its own. Batches are put together up to
+``BATCH_BYTES``, and a very long text is a batch of its own.
 
 Defined results: a null or empty text has the end id only. Documents with one id keep one
 order, by hash of the text; null ids come first. Strings of special tokens in a text are
@@ -38,7 +39,7 @@ from tillroll.llm.common import give_back_memory, ship, store, table
 from tillroll.sources.staging import new_folder
 
 END_ID = 2
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 #: Text that is encoded at once: much, as each different piece of a batch is looked up once.
 BATCH_BYTES = 8 << 20
 #: Pieces that are encoded as one text.
@@ -54,6 +55,27 @@ UNSAFE = (
 _encoders: dict[str, Encoder] = {}
 
 
+#: Marks behind a word. No token has both letters and marks.
+MARKS = ".,;:!?"
+
+
+def split_marks(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words without the mark at their end, and which of them had just one there, behind an
+    ASCII or Latin-1 letter; others are left as they are."""
+    stems = pc.utf8_rtrim(words, MARKS)
+    cut = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy()
+    ends = np.frombuffer(stems.buffers()[1], np.int32)[stems.offset : stems.offset + len(stems) + 1]
+    text = np.frombuffer(stems.buffers()[2] or b"  ", np.uint8)
+    long = np.diff(ends) >= 2
+    last = text[np.where(long, ends[1:] - 1, 0)]
+    before = text[np.where(long, ends[1:] - 2, 0)]
+    ascii_letter = ((last | 32) >= ord("a")) & ((last | 32) <= ord("z"))
+    # Two bytes, of which the first is C3; but the signs for times and division.
+    latin = (before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+    marked = (cut == 1) & long & (ascii_letter | latin)
+    return pc.if_else(pa.array(marked), stems, words), marked
+
+
 class Encoder:
     """Encodes batches of texts; keeps the ids of pieces that it has seen.
 
@@ -171,11 +193,27 @@ class Encoder:
         opening[bounds[:-1]] = True
         inner = np.zeros(len(words), bool)
         inner[places[~opening]] = True
+        behind = words.filter(pa.array(inner))
+        stems, marked = split_marks(behind)
+        stems = stems.dictionary_encode()
         number = np.zeros(len(words), np.int64)
-        number[inner] = self._numbers(words.filter(pa.array(inner)), True)
-        pieces = number[places]
+        number[inner] = self._numbers(stems.dictionary, True)[stems.indices.to_numpy()]
+        mark = np.zeros(len(words), np.int64)
+        if marked.any():
+            last = pc.utf8_slice_codeunits(behind.filter(pa.array(marked)), -1).dictionary_encode()
+            mark[np.flatnonzero(inner)[marked]] = self._numbers(last.dictionary, False)[
+                last.indices.to_numpy()
+            ]
+        pieces, marks = number[places], mark[places]
         heads, back = np.unique(places[opening], return_inverse=True)
         pieces[opening] = self._numbers(words.take(pa.array(heads)), False)[back]
+        marks[opening] = 0
+        # The mark of a word comes behind it.
+        more = marks > 0
+        shifts = np.r_[0, np.cumsum(more)]
+        pieces = np.repeat(pieces, 1 + more)
+        pieces[np.flatnonzero(more) + shifts[1:][more]] = marks[more]
+        bounds = bounds + shifts[bounds]
         if len(whole):
             first = self._add(texts.take(pa.array(whole)), False)
             pieces[bounds[whole]] = np.arange(first, first + len(whole))
@@ -191,16 +229,29 @@ class Encoder:
         return ids, np.concatenate([[0], ends])
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most so many bytes of text, or with one row."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
-    ends = np.cumsum(sizes, dtype=np.int64)
-    start = 0
-    while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
-        yield batch.slice(start, stop - start)
-        start = stop
+def regrouped(
+    batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with at most so many bytes of text, or with one row."""
+    waiting, held = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + most_bytes - held, "right"))
+            if stop <= start and not waiting:
+                stop = start + 1
+            if stop > start:
+                waiting.append(batch.slice(start, stop - start))
+                held += int(ends[stop - 1] - before)
+                start = stop
+            if start < batch.num_rows:
+                yield pa.concat_batches(waiting)
+                waiting, held = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
 
 
 def _encoder(tokenizer_file: str) -> Encoder:
@@ -227,19 +278,18 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(tokenizer_file), 0
-        for large in batches:
-            for batch in slices(large, "text", BATCH_BYTES):
-                ids, bounds = encoder.encode(batch.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        batch.column("part"),
-                        pa.array(bounds[:-1] + before, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
-                    ],
-                    ["doc_id", "part", "first", "ids"],
-                )
-                before += len(ids)
+        for batch in regrouped(batches, "text", BATCH_BYTES):
+            ids, bounds = encoder.encode(batch.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("part"),
+                    pa.array(bounds[:-1] + before, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
+                ],
+                ["doc_id", "part", "first", "ids"],
+            )
+            before += len(ids)
         encoder.rest()
 
     (
