@@ -47,6 +47,18 @@ def test_stages_on_small_tables(spark, sf_small):
     assert sum(len(words(r.text)) for r in mixed.collect()) == pytest.approx(total, rel=0.25)
 
 
+def test_near_copies_under_one_id_go(spark, documents_of, sf_small):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, passage), (1, passage + " tail"), (2, passage + " more"), (1, "quite another text with words")]
+    rows += [(1, passage), (None, passage + " x"), (None, "alone in the world it stands"), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_similar(spark, docs, sf_small).collect()), key=str)
+    assert len(kept) == 4 and {r[0] for r in kept if r[1].startswith("word0")} == {1}
+    assert sum(r[1].startswith("word0") for r in kept) == 1
+    assert (1, "quite another text with words") in kept and (3, "") in kept
+    assert (None, "alone in the world it stands") in kept
+
+
 def test_odd_documents(spark, odd, none, sf_small):
     for docs in (odd.drop("label"), none):
         for _, stage in corpus_pipeline.STAGES[:-1]:

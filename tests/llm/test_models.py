@@ -65,6 +65,77 @@ def test_odd_languages(spark, odd, none):
     assert {r.lang_pred for r in language_id.identify(odd, None).collect()} == {"und"}
 
 
+def test_probabilities_against_a_plain_loop():
+    """One window, one byte, one state at a time, as the equations of the network have it."""
+    random = np.random.default_rng(6)
+    n, names = 4, ["a", "b", "c"]
+    shapes = [(2, 256, 3 * n), (2, n, 3 * n), (2, n, 3), (3,)]
+    net = language_id.Network(names, *(random.normal(0, 0.7, s).astype(np.float32) for s in shapes))
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def layer(k, data):
+        state, out = [0.0] * n, []
+        for byte in data:
+            given = [float(v) for v in net.inputs[k][byte]]
+            carried = [sum(state[j] * float(net.recur[k][j][i]) for j in range(n)) for i in range(3 * n)]
+            update = [sigmoid(given[i] + carried[i]) for i in range(n)]
+            reset = [sigmoid(given[n + i] + carried[n + i]) for i in range(n)]
+            fresh = [math.tanh(given[2 * n + i] + reset[i] * carried[2 * n + i]) for i in range(n)]
+            state = [f + u * (s - f) for f, u, s in zip(fresh, update, state, strict=True)]
+            out.append(state)
+        return out
+
+    def brute(data):
+        total = [0.0] * 3
+        for at in range(0, len(data), language_id.WINDOW):
+            window = data[at : at + language_id.WINDOW]
+            # The backward layer reads the window with what fills it up, from its end.
+            filled = window + bytes(language_id.WINDOW - len(window))
+            ahead, back = layer(0, filled), layer(1, filled[::-1])[::-1]
+            for t in range(len(window)):
+                logits = [
+                    sum(ahead[t][j] * float(net.output[0][j][c]) + back[t][j] * float(net.output[1][j][c]) for j in range(n))
+                    + float(net.offset[c])
+                    for c in range(3)
+                ]
+                high = max(logits)
+                parts = [math.exp(v - high) for v in logits]
+                total = [x + p / sum(parts) for x, p in zip(total, parts, strict=True)]
+        return [x / max(1, len(data)) for x in total]
+
+    texts = [b"a", b"The quick brown fox", "ça été là ".encode() * 40, bytes(range(1, 255))]
+    found = net.predict(texts)
+    for row, text in zip(found, texts, strict=True):
+        assert row == pytest.approx(brute(text), abs=1e-4)
+    assert net.predict([b""])[0].tolist() == [0, 0, 0]
+
+
+def test_an_id_in_very_many_rows_takes_one_place(spark, monkeypatch):
+    """The sample of the network and that of the trees hold one text of it, in every run the same."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(100_000).select(
+        F.lit(2).cast("long").alias("doc_id"), F.concat(F.lit("hot text "), "id").alias("text"), F.lit("en").alias("lang")
+    )
+    rest = spark.range(10, 60).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"),
+        F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"),
+    )
+    documents = hot.unionByName(rest).repartition(6)
+    samples = []
+    monkeypatch.setattr(language_id, "fit", lambda w, sizes, labels, names: samples.append((len(w), w.tobytes())))
+    for _ in range(2):
+        language_id.train(documents, per_language=1000)
+    learned = sum(bucket(i, 3) != 1 for i in [2, *range(10, 60)])
+    assert samples[0] == samples[1] and samples[0][0] == learned
+    labels = documents.select("doc_id", (F.col("doc_id") % 2).alias("quality")).distinct()
+    fits = []
+    monkeypatch.setattr(quality, "fit", lambda rows, good: fits.append((rows.tobytes(), good.tolist())))
+    for _ in range(2):
+        quality.train(documents, labels)
+    assert fits[0] == fits[1] and len(fits[0][1]) == sum(bucket(i, 5) != 0 for i in [2, *range(10, 60)])
+
+
 # quality
 
 

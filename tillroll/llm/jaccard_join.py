@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
     bounded_broadcast,
+    collect_garbage,
     forget,
     give_back_memory,
     giving_back,
@@ -91,7 +92,8 @@ def pair_overlap(n: int, m: int) -> int:
 
 
 def set_table(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and the digest of the set as ``node`` (null without shingles)."""
+    """doc_id, hash of the text as ``body``, n_shingles and the digest of the set as ``node``
+    (null without shingles)."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,14 +103,19 @@ def set_table(documents: DataFrame) -> DataFrame:
                 sizes.append(len(shingles))
                 nodes.append(set_digest(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                ["doc_id", "n_shingles", "node"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("body"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(nodes, pa.int64()),
+                ],
+                ["doc_id", "body", "n_shingles", "node"],
             )
         give_back_memory()
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        measure, "doc_id long, n_shingles long, node long"
-    )
+    return documents.select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("body"), "text"
+    ).mapInArrow(measure, "doc_id long, body long, n_shingles long, node long")
 
 
 BLOCK_SCHEMA = "bucket int, nodes binary, owners binary, hashes binary"
@@ -554,6 +561,20 @@ def links_in_groups(sets: DataFrame, groups: DataFrame, tasks: int) -> DataFrame
 
 def similar_documents(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id it is linked with."""
+    placed, smallest = similar_rows(documents)
+    return placed.join(smallest, "part", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("part").isNull(), F.col("doc_id"))
+        .otherwise(F.col("smallest"))
+        .alias("component_id"),
+    )
+
+
+def similar_rows(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per row doc_id, ``body`` (hash of the text), n_shingles and ``part``, a number of its
+    component that is null without shingles; and per part the ``smallest`` doc_id and the
+    ``first`` row, by id and body, null last."""
     spark = documents.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -573,6 +594,7 @@ def similar_documents(documents: DataFrame) -> DataFrame:
         "live",
     )
     sets = store(live_sets(documents, live), "live-sets")
+    collect_garbage(spark)
     kept = live.agg(F.sum("n")).first()[0] or 0
     edges = coarse_edges(
         sets,
@@ -584,20 +606,20 @@ def similar_documents(documents: DataFrame) -> DataFrame:
     parts = connected_components(links_in_groups(sets, groups, tasks))
 
     placed = measured.join(parts, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "node").alias("part")
+        "doc_id", "body", "n_shingles", F.coalesce("label", "node").alias("part")
     )
     placed = store(placed, "placed")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "body")
     # Stored, so that the join deals both sides anew and can split a hot component.
-    smallest = store(placed.groupBy("part").agg(F.min("doc_id").alias("smallest")), "smallest")
-    result = placed.join(smallest, "part", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("part").isNull(), F.col("doc_id"))
-        .otherwise(F.col("smallest"))
-        .alias("component_id"),
+    smallest = store(
+        placed.where("part IS NOT NULL")
+        .groupBy("part")
+        .agg(F.min("doc_id").alias("smallest"), F.min(row).alias("first")),
+        "smallest",
     )
     forget(spark, measured, live, sets, groups, parts)
-    return result
+    collect_garbage(spark)
+    return placed, smallest
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ UNKNOWN = "und"
 LABEL = "_language_id_label"
 FOLDS, HELD_OUT = 3, 1
 WINDOW, WINDOWS, PER_LANGUAGE = 64, 6, 256
+#: Parts in which candidates for learning are ranked first.
+PARTS = 64
 STATES, STEPS, BATCH, RATE = 8, 220, 192, 0.02
 #: Windows that go through the network together.
 TOGETHER = 2048
@@ -180,16 +182,23 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | N
     """Learn ``lang`` from documents that are not held out; None if there is nothing."""
     ship(documents.sparkSession)
     documents = documents.select("doc_id", "lang", "text")  # other columns may have our names
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # Different ids first, so that one with very many rows takes one place. They are ranked in
+    # parts and then over all, so that no task gets candidates of every other one.
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    in_part = W.partitionBy("lang", "part").orderBy(*order)
+    first = W.partitionBy("lang").orderBy(*order)
     chosen = (
         documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
         .where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
         .where(F.col("text") != "")
         .select("lang", "doc_id")
+        .distinct()
+        .withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
+        .withColumn("place", F.row_number().over(in_part))
+        .where(F.col("place") <= per_language)
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= per_language)
         .select(F.col("doc_id").alias("chosen"), F.col("lang").alias("label"))
-        .distinct()
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,12 +220,14 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Network | N
             )
 
     kinds = [pa.int64(), pa.string(), pa.binary()]
-    # ``per_language`` rows of each language, so the broadcast is bounded, and so is the result.
+    # ``per_language`` rows of each language, so the broadcast is bounded; one text for each of
+    # them, the first in order, so the result is too.
     sample = (
         documents.join(
             F.broadcast(chosen), (F.col("doc_id") == F.col("chosen")) & (F.col("lang") == F.col("label"))
         )
-        .select(F.col("doc_id").cast("long"), "label", "text")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"), "label")
+        .agg(F.min("text").alias("text"))
         .mapInArrow(cut, "doc_id long, label string, window binary")
         .orderBy("label", "doc_id", "window")
         .toArrow()

@@ -226,13 +226,15 @@ def train(
                     ["doc_id", "good", "row"],
                 )
 
-    # ``limit`` rows of two numbers at most: small by construction.
+    # ``limit`` rows of two numbers at most: small by construction. However many rows share an
+    # id, one of them counts, the same in every run, and so ``limit`` rows reach the driver.
     measured = (
         documents.select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
         .select("doc_id", "good", "text")
         .mapInArrow(measure, "doc_id long, good int, row array<float>")
-        .limit(2 * limit)  # repeated ids bring more rows than labels
+        .groupBy("doc_id")
+        .agg(F.max("good").alias("good"), F.min("row").alias("row"))
         .toArrow()
     )
     rows = np.array(measured.column("row").to_pylist(), np.float32).reshape(-1, len(STATISTICS))
