@@ -28,21 +28,26 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id.
-
-    Rows with one id that is the smallest of its group stay, but of equal ones only one."""
-    groups = jaccard_join.similar_documents(docs).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
-    counts = store(
-        groups.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")),
+    """Of each group of similar documents the first by id and hash of its text, null last.
+
+    Rows are told apart by id and text, so near copies go that share the id of what is kept; of
+    rows equal in both one stays. Documents without words are similar to nothing."""
+    placed, smallest = jaccard_join.similar_rows(docs)
+    first = smallest.select("first.doc_id", "first.body")
+    alone = placed.where("part IS NULL").select("doc_id", "body")
+    kept = store(
+        first.unionByName(alone).select(
+            F.col("doc_id").alias("_kept"), F.col("body").alias("_body")
+        ),
         "kept",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_kept"))
-    kept = docs.join(counts.select("_kept"), same, "left_semi").select(docs.columns)
-    # Only then is there a reason to compare texts.
-    repeated = not counts.where("_rows > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.xxhash64("text") == F.col("_body"))
+    left = docs.join(kept.distinct(), same, "left_semi").select(docs.columns)
+    # Only where rows are repeated is there a reason to compare texts.
+    repeated = placed.groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias("_rows"))
+    if repeated.where("_rows > 1").isEmpty():
+        return left
+    return left.dropDuplicates(["doc_id", "text"])
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
