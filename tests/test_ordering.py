@@ -6,7 +6,14 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tillroll.functions.ordering import BAND, CUTS, number_rows, quantiles, rank_within
+from tillroll.functions.ordering import (
+    BAND,
+    _in_ranges,
+    number_by_range,
+    number_rows,
+    quantiles,
+    rank_within,
+)
 from tillroll.functions.scalars import order_band
 
 POINTS = {"low": 0.01, "median": 0.5, "p99": 0.99, "p999": 0.999, "top": 1.0}
@@ -86,21 +93,33 @@ def test_numbers_follow_the_key(spark):
     assert sorted(r.n for r in numbered) == list(range(1, len(words) + 1))
 
 
-def test_bands_follow_values_that_lie_close_together(spark):
-    """200,000 revenues within four percent: no task of the sort has more than a small share."""
+def test_numbers_by_range_follow_the_key(spark):
+    words = sorted({f"a{i:03}" for i in range(300)} | {"", "B", "é"}, key=str.encode)
+    frame = spark.createDataFrame([(w,) for w in words], "w string").repartition(5)
+    numbered = number_by_range(frame, "w", "n").collect()
+    assert [r.w for r in sorted(numbered, key=lambda r: r.n)] == words
+    assert sorted(r.n for r in numbered) == list(range(1, len(words) + 1))
+    assert number_by_range(frame.limit(0), "w", "n").count() == 0
+
+
+def test_ranges_follow_values_that_lie_close_together(spark):
+    """200,000 revenues of one group within four percent: no task gets more than a small share."""
     frame = spark.range(200_000).select(
         F.lit("a").alias("g"), (F.lit(1000) + F.col("id") * 0.0002).alias("v")
     )
+    sizes = _in_ranges(frame, "g", F.desc("v")).groupBy(BAND).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 200_000 / 4
     ranked = rank_within(frame, "g", "v", "r")
-    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
-    assert BAND in plan
-    cuts = frame.agg(
-        F.percentile_approx("v", [i / CUTS for i in range(1, CUTS)], 10_000).alias("c")
-    ).first().c
-    bands = (
-        frame.withColumn("cuts", F.array(*map(F.lit, cuts)))
-        .groupBy(F.size(F.filter("cuts", lambda c: c <= F.col("v"))).alias("b"))
-        .count()
-    )
-    assert bands.agg(F.max("count")).first()[0] < 200_000 * 3 / CUTS
     assert ranked.where(F.col("r") != 200_000 - F.round((F.col("v") - 1000) / 0.0002)).count() == 0
+
+
+def test_a_value_that_goes_on_over_ranges_keeps_its_rank(spark):
+    """A third of the rows tie, and another third have no value: both are cut into ranges."""
+    rows = [("a", float(i)) for i in range(2000)] + [("a", 700.5)] * 3000 + [("a", None)] * 3000
+    rows += [("b", 1.0)] * 40 + [(None, None)] * 9
+    frame = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g string, v double, i int")
+    ranges = _in_ranges(frame, "g", F.desc_nulls_last("v"), F.xxhash64("g", "v", "i"))
+    assert ranges.where("v = 700.5").select(BAND).distinct().count() > 1
+    found = {(r.g, r.v, r.r) for r in rank_within(frame, "g", "v", "r").collect()}
+    want = {("a", float(i), 2000 - i + 3000 * (i < 700.5)) for i in range(2000)}
+    assert found == want | {("a", 700.5, 1300), ("a", None, 5001), ("b", 1.0, 1), (None, None, 1)}

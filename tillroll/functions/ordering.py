@@ -8,17 +8,15 @@ how much lies in the bands before it; the sort itself runs band by band, in para
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalars import order_band
+from tillroll.sources.staging import stage
 
 BAND = "_band"
 BEFORE = "_before"
-#: Bands of a group when ranks are taken.
-CUTS = 100
 
 
 def band_offsets(
@@ -54,46 +52,80 @@ def number_rows(rows: DataFrame, key: str, band: Column, name: str) -> DataFrame
     )
 
 
-def _join_null_safe(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = other.withColumnsRenamed({key: f"_right_{key}" for key in keys})
-    same = reduce(
-        lambda a, b: a & b,
-        (F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys),
+def _in_ranges(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """``rows`` in partitions that are ranges of ``order``, each marked with its number. The
+    ranges follow a sample of the data, so they are stored before anything relies on them."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *order).withColumn(BAND, F.spark_partition_id())
+    return stage(dealt, "ranges")
+
+
+def number_by_range(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``number_rows``, for keys of which no bands are known: partitions are ranges of them."""
+    ranges = _in_ranges(rows, key)
+    offsets = band_offsets(ranges, F.lit(1)).select(BAND, BEFORE)  # one row for each partition
+    inside = F.row_number().over(Window.partitionBy(BAND).orderBy(key))
+    return (
+        ranges.withColumn(name, inside)
+        .join(F.broadcast(offsets), BAND)
+        .withColumn(name, (F.col(BEFORE) + F.col(name)).cast("bigint"))
+        .drop(BAND, BEFORE)
     )
-    return rows.join(renamed, same).drop(*(f"_right_{key}" for key in keys))
 
 
 def rank_within(rows: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """Add ``name``: the rank of ``value``, highest first, inside each ``group``.
 
-    Ties share a rank and leave a gap, as ``rank()`` does. The different values of a group
-    are ranked, each with the number of rows that have it, and the rows look their rank up.
-    So neither a group with most of the rows nor a value shared by very many of them comes
-    to a single sort; the lookup is a join, where such a key is split.
+    Ties share a rank and leave a gap, as ``rank()`` does; null comes after all values. Rows are
+    dealt out by ranges of group and value, so neither a group with most of the rows nor a value
+    shared by very many of them comes to a single task. Ranks are taken inside the ranges. What
+    lies before a range matters to its first group alone, as every other one begins in it; that
+    is one row at most for each range, and is broadcast. A value that goes on from one range into
+    the next keeps the rank that it had where it began.
     """
-    counts = rows.groupBy(group, value).agg(F.count("*").alias("_n"))
-    # Bands follow the data: about as many different values of the group in each. A sketch
-    # of bounded size finds the cuts; where they lie does not touch the ranks.
-    shares = F.array(*(F.lit(i / CUTS) for i in range(1, CUTS)))
-    cuts = counts.groupBy(group).agg(F.percentile_approx(value, shares, 10_000).alias("_cuts"))
-    placed = _join_null_safe(counts, cuts, [group])
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
-    # Null comes after all values, as it does in a descending sort.
-    band = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(passed)
-    banded = placed.withColumn(BAND, band).drop("_cuts")
-    offsets = band_offsets(banded, F.col("_n"), [group], descending=True).select(
-        group, BAND, BEFORE
+    salt = F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns))
+    ranges = _in_ranges(
+        rows.withColumn("_salt", salt), F.col(group), F.desc_nulls_last(value), F.col("_salt")
+    ).drop("_salt")
+    counts = ranges.groupBy(BAND, group, value).agg(F.count("*").alias("_n"))
+    nulls = F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("_n"))), F.lit(0))
+    # Where a range begins, and where it ends and with how many rows: null ends it.
+    spans = counts.groupBy(BAND, group).agg(
+        F.sum("_n").alias("_rows"),
+        F.max(value).alias("_first"),
+        F.when(nulls == 0, F.min(value)).alias("_last"),
+        F.when(nulls > 0, nulls).otherwise(F.min_by("_n", value)).alias("_ending"),
+    )
+    in_order = Window.partitionBy(group).orderBy(BAND)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    alike = Window.partitionBy(group, "_last").orderBy(BAND).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    higher = (
-        Window.partitionBy(group, BAND)
-        .orderBy(F.desc(value))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.lag("_last").over(in_order).eqNullSafe(F.col("_first"))
+    offsets = (
+        spans.withColumn("_same", F.sum("_ending").over(alike))
+        .withColumn(BEFORE, F.sum("_rows").over(earlier))
+        .withColumn("_begun", F.when(goes_on, F.lag("_same").over(in_order)).otherwise(F.lit(0)))
+        .where(F.col(BEFORE).isNotNull())
+        .select(
+            F.col(BAND).alias("_right_band"),
+            F.col(group).alias("_right_group"),
+            "_first",
+            BEFORE,
+            "_begun",
+        )
     )
-    place = F.col(BEFORE) + F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1
-    ranks = _join_null_safe(banded, offsets, [group, BAND]).select(
-        group, value, place.cast("bigint").alias(name)
+    inside = Window.partitionBy(BAND, group).orderBy(F.desc_nulls_last(value))
+    same = (F.col(BAND) == F.col("_right_band")) & F.col(group).eqNullSafe(F.col("_right_group"))
+    before = F.coalesce(BEFORE, F.lit(0)) - F.when(
+        F.col(value).eqNullSafe(F.col("_first")), F.coalesce("_begun", F.lit(0))
+    ).otherwise(0)
+    return (
+        ranges.withColumn(name, F.rank().over(inside))
+        .join(F.broadcast(offsets), same, "left")
+        .withColumn(name, (F.col(name) + before).cast("bigint"))
+        .select(*rows.columns, name)
     )
-    return _join_null_safe(rows, ranks, [group, value])
 
 
 def quantiles(counts: DataFrame, points: Mapping[str, float]) -> DataFrame:

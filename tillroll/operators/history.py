@@ -43,11 +43,11 @@ def customer_days(
 def activity_runs(days: DataFrame) -> DataFrame:
     """Of ``customer_days``: first and last day, days with sales and revenue of each run, and
     the pause before it."""
-    first = F.min(F.struct("day", "days_since"))
     return (
         days.groupBy("customer_id", "run")
         .agg(
-            first.alias("_first"),
+            F.min("day").alias("first_day"),
+            F.min_by("days_since", "day").alias("pause_before"),
             F.max("day").alias("last_day"),
             F.count(F.lit(1)).alias("active_days"),
             F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
@@ -55,10 +55,10 @@ def activity_runs(days: DataFrame) -> DataFrame:
         .select(
             "customer_id",
             "run",
-            F.col("_first.day").alias("first_day"),
+            "first_day",
             "last_day",
             "active_days",
             "revenue",
-            F.col("_first.days_since").alias("pause_before"),
+            "pause_before",
         )
     )

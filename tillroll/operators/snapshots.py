@@ -21,12 +21,17 @@ def _digests(columns: Sequence[str]) -> list[Column]:
 
 def _by_key(rows: DataFrame, key: Sequence[str], values: Sequence[str], side: str) -> DataFrame:
     """A row for each key: how many rows, a digest of all of them that does not depend on their
-    order, and the values where there is one row. Added up in every task before the shuffle."""
+    order, and one of each column. Only numbers, added up by hashing in every task before the
+    shuffle, whatever the columns hold."""
     one, two = _digests(values)
     return rows.groupBy(F.struct(*(F.col(f"`{c}`") for c in key)).alias("_key")).agg(
         F.count(F.lit(1)).alias(f"_rows_{side}"),
-        F.struct(F.sum(one).alias("one"), F.sum(two).alias("two")).alias(f"_digest_{side}"),
-        *(F.min(F.col(f"`{c}`")).alias(f"_{side}_{i}") for i, c in enumerate(values)),
+        F.sum(one).alias(f"_one_{side}"),
+        F.sum(two).alias(f"_two_{side}"),
+        *(
+            F.bit_xor(F.xxhash64(F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))).alias(f"_{side}_{i}")
+            for i, c in enumerate(values)
+        ),
     )
 
 
@@ -36,7 +41,7 @@ def changes_by_key(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
 
     Keys need not be unique: the rows of a key are compared as a multiset, by their number and a
     128-bit digest. Null is equal to null, in keys and values. A key with one row in each load
-    names the columns that differ, others null. Both loads must have the same columns.
+    names the columns that differ, by 64-bit hashes; others null. Both loads must have the same columns.
     """
     values = [c for c in before.columns if c not in key]
     # Keys are structs: these are joined with null equal to null, and on the same hashing that
@@ -44,7 +49,7 @@ def changes_by_key(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
     joined = _by_key(before, key, values, "b").join(_by_key(after, key, values, "a"), "_key", "full")
     names = F.array(
         *(
-            F.when(~F.col(f"_b_{i}").eqNullSafe(F.col(f"_a_{i}")), F.lit(c))
+            F.when(F.col(f"_b_{i}") != F.col(f"_a_{i}"), F.lit(c))
             for i, c in enumerate(values)
         )
     )
@@ -54,7 +59,8 @@ def changes_by_key(before: DataFrame, after: DataFrame, key: Sequence[str]) -> D
         .when(F.col("_rows_a").isNull(), REMOVED)
         .when(
             (F.col("_rows_b") != F.col("_rows_a"))
-            | ~F.col("_digest_b").eqNullSafe(F.col("_digest_a")),
+            | (F.col("_one_b") != F.col("_one_a"))
+            | (F.col("_two_b") != F.col("_two_a")),
             CHANGED,
         )
     )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.functions import scalars
-from tillroll.functions.ordering import number_rows
+from tillroll.functions.ordering import number_by_range, number_rows
+from tillroll.sources.staging import stage
 
 WEEKEND = (1, 7)
 
@@ -74,8 +75,7 @@ def dim_date(cleaned: DataFrame) -> DataFrame:
 def dim_region(cleaned: DataFrame) -> DataFrame:
     """One row per country, numbered by name."""
     countries = cleaned.select(F.col("Country").alias("country")).distinct()
-    initial = F.coalesce(F.left("country", F.lit(1)), F.lit(""))
-    numbered = number_rows(countries, "country", initial, "region_id")
+    numbered = number_by_range(countries, "country", "region_id")
     return numbered.select(
         "region_id",
         "country",
@@ -160,33 +160,60 @@ def _violations(check: str, table: str, count: Column) -> tuple[Column, ...]:
     )
 
 
+def _key_counts(fact: DataFrame) -> DataFrame:
+    """``rule``, ``key``, ``n``: how often each key of the fact is used, for all its rules, from
+    one scan. For a width the key says whether a text is too long.
+
+    A row becomes one for each rule, and these are counted in every task before the shuffle, so
+    a key with very many sales is a row for each task by then."""
+    uses = [(key, F.col(key).cast("string")) for key, _ in schemas.FOREIGN_KEYS]
+    uses += [(key, F.col(key).cast("string")) for _, table, key in schemas.UNIQUE_KEYS if table == "fact_sales"]
+    for column, width in schemas.TEXT_WIDTHS.get("fact_sales", {}).items():
+        uses.append((f"width({column})", (F.length(column) > width).cast("string")))
+    pairs = F.array(*(F.struct(F.lit(r).alias("rule"), k.alias("key")) for r, k in uses))
+    return fact.select(F.inline(pairs)).groupBy("rule", "key").agg(F.count("*").alias("n"))
+
+
 def star_integrity(star: Mapping[str, DataFrame]) -> DataFrame:
     """Broken keys, references and text widths, one row per rule.
 
-    References are counted per key before they meet the dimension, so a key with very many
-    sales is one row by then.
+    The fact is read once: the counts of its keys are stored, and all its rules read those.
     """
     results = []
+    counts = stage(_key_counts(star["fact_sales"]), "key_counts")
+
+    def of_fact(rule: str) -> DataFrame:
+        return counts.where(F.col("rule") == rule).select("key", F.col("n").alias("_n"))
+
     for rule, table, key in schemas.UNIQUE_KEYS:
-        copies = star[table].groupBy(key).agg(F.count("*").alias("_n"))
-        extra = F.when(F.col(key).isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
+        if table == "fact_sales":
+            copies = of_fact(key)
+        else:
+            copies = star[table].groupBy(F.col(key).alias("key")).agg(F.count("*").alias("_n"))
+        extra = F.when(F.col("key").isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
         results.append(
             copies.agg(F.sum(extra).alias("_v")).select(
                 *_violations(f"{rule}({key})", table, F.col("_v"))
             )
         )
-    fact = star["fact_sales"]
     for key, table in schemas.FOREIGN_KEYS:
-        used = fact.where(F.col(key).isNotNull()).groupBy(key).agg(
-            F.count("*").alias("_n")
-        )
-        orphans = used.join(star[table].select(key), key, "left_anti")
+        used = of_fact(key).where(F.col("key").isNotNull())
+        known = star[table].select(F.col(key).cast("string").alias("key"))
+        orphans = used.join(known, "key", "left_anti")
         results.append(
             orphans.agg(F.sum("_n").alias("_v")).select(
                 *_violations(f"foreign_key({key})", "fact_sales", F.col("_v"))
             )
         )
     for table, widths in schemas.TEXT_WIDTHS.items():
+        if table == "fact_sales":
+            results += [
+                of_fact(f"width({c})")
+                .agg(F.sum(F.when(F.col("key") == "true", F.col("_n"))).alias("_v"))
+                .select(*_violations(f"width({c})", table, F.col("_v")))
+                for c in widths
+            ]
+            continue
         too_long = star[table].agg(
             *(F.count_if(F.length(c) > n).alias(c) for c, n in widths.items())
         )

@@ -86,13 +86,13 @@ def with_late_rows(
     same = F.col("window_start") == F.col("_window_start")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    # One row: the watermark, which counts milliseconds.
+    # The watermark counts milliseconds.
     latest = F.date_trunc("MILLISECOND", F.max(to_instant(F.col("ts"))))
-    closed = arrived.agg(to_clock(latest - F.expr(f"INTERVAL {lateness}")).alias("_closed"))
+    [closed] = arrived.agg(to_clock(latest - F.expr(f"INTERVAL {lateness}"))).first()
     counted = F.coalesce("events", F.lit(0))
     return (
-        everything.join(final, same, "left")
-        .join(F.broadcast(closed), F.col("_window_end") <= F.col("_closed"))
+        everything.where(F.col("_window_end") <= F.lit(closed).cast("timestamp_ntz"))
+        .join(final, same, "left")
         .select(
             F.col("_window_start").alias("window_start"),
             F.col("_window_end").alias("window_end"),
