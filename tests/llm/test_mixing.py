@@ -58,7 +58,7 @@ def test_targets_and_takes(documents_of):
     sizes, taken, told = defaultdict(int), defaultdict(int), {}
     source = {doc: s for doc, _, _, s in rows}
     text = {doc: t for doc, t, *_ in rows}
-    for doc, size, source_size, target, words_taken, _ in first:
+    for doc, size, source_size, target, words_taken, *_ in first:
         assert size == len(words(text[doc])) and 0 <= words_taken <= 3 * size
         sizes[source[doc]] += size
         taken[source[doc]] += words_taken
@@ -68,6 +68,34 @@ def test_targets_and_takes(documents_of):
         assert abs(taken[name] - target) <= 0.03 * target + 3
 
 
+def test_whole_copies_keep_to_what_is_taken_of_each_source(documents_of):
+    """Also where a source has few and long documents."""
+    random.seed(4)
+    rows = [
+        (i, " ".join(["w"] * int(random.paretovariate(1.1) * 20)), "en", random.choice("aaabbc"))
+        for i in range(900)
+    ] + [(5000 + i, " ".join(["w"] * 3000), "en", "d") for i in range(6)]
+    documents = documents_of(rows)
+    mixed = mix(documents, shard_words=20_000).cache()
+    wanted, given, largest, shards = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(set)
+    source = {doc: s for doc, _, _, s in rows}
+    size = {r.doc_id: r.size for r in mixed.collect()}
+    for r in mixed.collect():
+        wanted[source[r.doc_id]] += r.taken
+        shards[source[r.doc_id]].add(r.shard)
+    counts = defaultdict(int)
+    for r in apply_mix(documents, mixed).collect():
+        given[r.source] += size[r.doc_id]
+        counts[r.doc_id] += 1
+    for r in mixed.collect():
+        assert abs(counts[r.doc_id] - r.taken / max(1, r.size)) < 1
+        largest[source[r.doc_id], r.shard] = max(largest[source[r.doc_id], r.shard], r.size)
+    for name in wanted:
+        assert abs(given[name] - wanted[name]) <= sum(n for (s, _), n in largest.items() if s == name)
+    assert sum(given.values()) == pytest.approx(sum(wanted.values()), rel=0.05)
+    mixed.unpersist()
+
+
 def test_odd_documents(odd, none):
     got = mix(odd).collect()
     assert len(got) == odd.count()

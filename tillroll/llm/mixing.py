@@ -157,7 +157,8 @@ def mix(
     seed: int = SEED,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """Per row: doc_id, size, source_size, target of its source, taken."""
+    """Per row: doc_id, size, source_size, target of its source, taken; and for ``apply_mix`` the
+    hash of its text, the number of its source and its shard."""
     spark = documents.sparkSession
     sized = store(
         documents.select(
@@ -261,28 +262,63 @@ def mix(
         + F.when(F.col("cutoff").isNotNull(), drawn).otherwise(F.lit(0)),
     ).otherwise(F.lit(0))
     result = joined.select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "body"
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        taken.cast("long").alias("taken"),
+        "body",
+        "source_no",
+        "shard",
     )
     return result
 
 
 def apply_mix(documents: DataFrame, mixed: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it.
+    """The rows of ``documents``, each as often as the mix takes it, in whole copies.
 
-    A row whose words are taken 1.4 times is there once, and once more with a seeded chance
-    of 0.4, so that each source's words stay near its target."""
-    ratio = F.col("taken") / F.col("size")
-    chance = (F.xxhash64(F.lit(seed + 2), "m_id", "m_body").bitwiseAND(0xFFFFF)) / float(1 << 20)
-    copies = mixed.where("taken > 0").select(
-        F.col("doc_id").alias("m_id"), F.col("body").alias("m_body"), "taken", "size"
-    )
+    A row whose words are taken 1.4 times is there once, and 0.4 are left over. In every shard
+    the rows are put in order of size, and what is left over is added up along it; a row at which
+    the sum passes a whole number (from a seeded start) is there once more. Neighbours are of like
+    size, so what one has too much another has too little: a shard's words are off by its largest
+    document at most, and a source's by less than one for each shard, as starts differ.
+    """
     # Rows that are equal may differ in what is taken of each; together they count once.
-    copies = copies.groupBy("m_id", "m_body").agg(
-        F.avg("taken").alias("taken"), F.max("size").alias("size")
+    copies = (
+        mixed.where("taken > 0")
+        .select(
+            F.col("doc_id").alias("m_id"),
+            F.col("body").alias("m_body"),
+            "source_no",
+            "shard",
+            "taken",
+            "size",
+        )
+        .groupBy("m_id", "m_body", "source_no", "shard")
+        .agg(F.avg("taken").alias("taken"), F.max("size").alias("size"))
+        .withColumn("whole", F.floor(F.col("taken") / F.col("size")))
+        .withColumn("over", F.col("taken") / F.col("size") - F.col("whole"))
+    )
+    in_order = (
+        W.partitionBy("source_no", "shard")
+        .orderBy("size", F.xxhash64(F.lit(seed + 2), "m_id", "m_body"), "m_id", "m_body")
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    begin = (
+        F.xxhash64(F.lit(seed + 3), "source_no", "shard").bitwiseAND(0xFFFFF) / float(1 << 20)
+    )
+    sum_ = F.sum("over").over(in_order) + begin
+    copies = (
+        copies.withColumn("sum", sum_)
+        .withColumn(
+            "times",
+            (F.col("whole") + F.floor("sum") - F.floor(F.col("sum") - F.col("over"))).cast("int"),
+        )
+        .where("times > 0")
+        .select("m_id", "m_body", "times")
+        .groupBy("m_id", "m_body")
+        .agg(F.max("times").alias("times"))
     )
-    copies = copies.withColumn(
-        "times", (F.floor(ratio) + F.when(chance < ratio - F.floor(ratio), 1).otherwise(0)).cast("int")
-    ).where("times > 0")
     # Columns of the documents may have the names used here, so each is taken from its frame.
     same = documents["doc_id"].eqNullSafe(copies["m_id"]) & (
         F.xxhash64(documents["text"]) == copies["m_body"]
@@ -293,4 +329,4 @@ def apply_mix(documents: DataFrame, mixed: DataFrame, seed: int = SEED) -> DataF
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("body")
+    return mix(table(spark, sf_dir, "documents")).drop("body", "source_no", "shard")
