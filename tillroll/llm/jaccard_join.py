@@ -19,7 +19,7 @@ from the start. Nodes that cannot link are put aside by counting, without any pa
 Only links that join two parts of a group are kept, so groups of thousands of near copies
 give a forest, never all pairs. While one part of a group holds most of it, its members need
 no query: whoever is outside asks about all of them. Groups of more than ``BLOCK`` sets are cut
-into blocks and every two blocks go to a task of their own.
+into blocks in the same spirit, see ``links_in_groups``.
 
 Hot shingles: of all sets in a task that hold a shingle two are sent on, enough to know that
 others hold it; the rest is counted where it is. Shuffles carry packed arrays by hash bucket.
@@ -468,8 +468,9 @@ class InvertedLists:
         return merged[starts], np.diff(np.r_[starts, len(merged)])
 
 
-def group_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A forest over the places of ``sets`` that joins just what links join."""
+def group_links(sets: list[np.ndarray], asking: list[int] | None = None) -> list[tuple[int, int]]:
+    """A forest over the places of ``sets`` that joins just what links join; with ``asking`` only
+    what links of these places join."""
     index = InvertedLists(sets)
     parent = list(range(len(sets)))
     size = [1] * len(sets)
@@ -481,11 +482,11 @@ def group_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         return x
 
     forest, main = [], 0
-    waiting, spared = deque(range(len(sets))), []
+    waiting, spared = deque(range(len(sets)) if asking is None else asking), []
     while waiting:
         query = waiting.popleft()
         # Whoever is outside the largest part asks about all, so its members need not.
-        if query != main and root(query) == root(main):
+        if asking is None and query != main and root(query) == root(main):
             spared.append(query)
             continue
         for other in index.links(query).tolist():
@@ -496,72 +497,124 @@ def group_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
                 parent[b] = a
                 size[a] += size[b]
                 forest.append((query, other))
-        if size[root(query)] > size[root(main)]:
+        if asking is None and size[root(query)] > size[root(main)]:
             # Another part is the largest now: members of the former one have to ask.
             waiting.extend(spared)
             main, spared = query, []
     return forest
 
 
-def links_in_groups(sets: DataFrame, groups: DataFrame, tasks: int) -> DataFrame:
-    """a, b: links that join what is similar within each group (node, label) of sets."""
-    large = (
+def links_in_groups(
+    sets: DataFrame, groups: DataFrame, tasks: int, block: int = BLOCK
+) -> DataFrame:
+    """a, b: links that join what is similar within each group (node, label) of sets.
+
+    A group of more than ``block`` sets is cut into blocks of half of that. First every block
+    meets the first one, in a task of its own. That finds all links inside a block and with the
+    first; in a group of near copies nearly all sets hang together then. Only links that join
+    different parts are missing, and one end of those is outside the largest part. So those
+    outside ask about all others: in chunks of half a block they go to every block. A set is
+    copied as often as there are such chunks, not as there are blocks."""
+    large = store(
         groups.groupBy("label")
         .agg(F.count(F.lit(1)).alias("members"))
-        .where(F.col("members") > BLOCK)
+        .where(F.col("members") > block)
         .select(
-            F.col("label").alias("large"), F.ceil(2 * F.col("members") / BLOCK).alias("blocks")
-        )
-    )
-    placed = (
-        sets.join(groups, "node")
-        .join(bounded_broadcast(large, BROADCAST_ROWS), F.col("label") == F.col("large"), "left")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))))
+            F.col("label").alias("large"), F.ceil(2 * F.col("members") / block).alias("blocks")
+        ),
+        "large-groups",
     )
+    placed = groups.join(
+        bounded_broadcast(large, BROADCAST_ROWS), F.col("label") == F.col("large"), "left"
+    ).withColumn("own", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))))
     others = F.when(
-        F.col("blocks").isNull(), F.array(F.col("own"))
-    ).otherwise(
-        F.filter(
-            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: c != F.col("own")
-        )
+        (F.col("own") == 0) & F.col("blocks").isNotNull(),
+        F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1),
+    ).otherwise(F.array("own"))
+    first = placed.withColumn("other", F.explode(others)).select(
+        "node", F.xxhash64("label", "other").alias("search"), F.lit(True).alias("asks")
     )
-    dealt = (
-        placed.withColumn("other", F.explode(others))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .select(
-            F.pmod(F.xxhash64("label", "i", "j"), F.lit(tasks)).alias("task"),
-            F.xxhash64("label", "i", "j").alias("search"),
-            "node",
-            "shingles",
-        )
+    found = store(_search(sets, first, tasks), "links")
+    if large.isEmpty():
+        forget(sets.sparkSession, large)
+        return found
+
+    members = placed.where("blocks IS NOT NULL")
+    hanging = connected_components(found).withColumnRenamed("label", "hangs")
+    parts = store(
+        members.join(hanging, "node", "left").withColumn("part", F.coalesce("hangs", "node")),
+        "parts",
+    )
+    main = (
+        parts.groupBy("label", "part")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("label")
+        .agg(F.max(F.struct("n", "part")).alias("main"))
+        .select("label", F.col("main.part").alias("main"))
+    )
+    outside = parts.join(main, "label").where(F.col("part") != F.col("main"))
+    chunks = store(
+        outside.groupBy("label").agg(F.ceil(2 * F.count(F.lit(1)) / block).alias("chunks")),
+        "chunks",
+    )
+    chunk = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("chunks"))
+    asking = (
+        outside.join(chunks, "label")
+        .withColumn("chunk", chunk)
+        .withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("node", "label", "chunk", "own", F.lit(True).alias("asks"))
     )
+    asked = (
+        parts.join(chunks, "label")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        .select("node", "label", "chunk", "own", F.lit(False).alias("asks"))
+    )
+    second = asking.unionByName(asked).select(
+        "node", F.xxhash64("label", "chunk", "own").alias("search"), "asks"
+    )
+    more = store(_search(sets, second, tasks), "links")
+    return found.unionByName(more)
+
+
+def _search(sets: DataFrame, dealt: DataFrame, tasks: int) -> DataFrame:
+    """a, b: what joins the sets (node, search, asks) that are in one search, as far as those
+    that ask are linked; several searches in a task."""
 
     @giving_back
     def search(task: pa.Table) -> pa.Table:
         searches: dict[int, dict[int, np.ndarray]] = {}
-        for search, node, packed in zip(
-            task.column("search").to_pylist(),
-            task.column("node").to_pylist(),
+        asking: dict[int, set[int]] = {}
+        for search, node, asks, packed in zip(
+            *(task.column(c).to_pylist() for c in ("search", "node", "asks")),
             task.column("shingles"),
             strict=True,
         ):
-            shingles = np.frombuffer(packed.as_py(), np.uint64)
-            searches.setdefault(search, {})[node] = shingles
+            searches.setdefault(search, {})[node] = np.frombuffer(packed.as_py(), np.uint64)
+            if asks:
+                asking.setdefault(search, set()).add(node)
         found = []
-        for members in searches.values():
+        for key, members in searches.items():
             nodes = sorted(members)
-            if len(nodes) > 1:
-                for x, y in group_links([members[n] for n in nodes]):
+            who = [i for i, node in enumerate(nodes) if node in asking.get(key, ())]
+            if len(nodes) > 1 and who:
+                every = None if len(who) == len(nodes) else who
+                for x, y in group_links([members[n] for n in nodes], every):
                     found.append((nodes[x], nodes[y]))
         return pa.Table.from_batches([_frame(found, ["a", "b"], [pa.int64(), pa.int64()])])
 
-    return dealt.groupBy("task").applyInArrow(search, "a long, b long")
+    return (
+        sets.join(dealt, "node")
+        .select(
+            F.pmod("search", F.lit(tasks)).alias("task"), "search", "asks", "node", "shingles"
+        )
+        .groupBy("task")
+        .applyInArrow(search, "a long, b long")
+    )
 
 
-def similar_documents(documents: DataFrame) -> DataFrame:
+def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id it is linked with."""
-    placed, smallest = similar_rows(documents)
+    placed, smallest = similar_rows(documents, block)
     return placed.join(smallest, "part", "left").select(
         "doc_id",
         "n_shingles",
@@ -571,7 +624,7 @@ def similar_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def similar_rows(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def similar_rows(documents: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Per row doc_id, ``body`` (hash of the text), n_shingles and ``part``, a number of its
     component that is null without shingles; and per part the ``smallest`` doc_id and the
     ``first`` row, by id and body, null last."""
@@ -603,7 +656,7 @@ def similar_rows(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     groups = connected_components(edges)
     tasks = max(partitions, math.ceil(kept / TASK_SHINGLES))
-    parts = connected_components(links_in_groups(sets, groups, tasks))
+    parts = connected_components(links_in_groups(sets, groups, tasks, block))
 
     placed = measured.join(parts, "node", "left").select(
         "doc_id", "body", "n_shingles", F.coalesce("label", "node").alias("part")
