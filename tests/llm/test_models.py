@@ -235,6 +235,38 @@ def test_tables_lie_between_one_and_the_customers():
     assert (few >= 1).all() and (many <= counts).all() and (many[2:] > few[2:]).all()
 
 
+@pytest.mark.parametrize(("customers", "weight"), [(1, 5.0), (12, 0.4), (40, 30.0), (600, 8.0)])
+def test_seating_against_one_customer_at_a_time(customers, weight):
+    """The number of tables has the distribution that a plain Chinese restaurant gives."""
+    random = np.random.default_rng(customers)
+    discount = language_model.DISCOUNT
+
+    def plain():
+        tables = [1]
+        for _ in range(customers - 1):
+            seats = np.array([*(n - discount for n in tables), weight])
+            chosen = random.choice(len(seats), p=seats / seats.sum())
+            if chosen == len(tables):
+                tables.append(1)
+            else:
+                tables[chosen] += 1
+        return len(tables)
+
+    runs = 150 if customers > 100 else 600
+    wanted = np.array([plain() for _ in range(runs)], float)
+    keys = random.integers(0, 2**63, 4000).astype(np.uint64)
+    found = language_model.tables_of(np.full(4000, customers), np.full(4000, weight), discount, keys=keys)
+    error = 4 * math.sqrt(wanted.var() / runs + found.var() / 4000) + 1e-9
+    # Groups of a sixteenth, from the 256th customer on, are seated by the chance at their middle.
+    assert abs(found.mean() - wanted.mean()) <= error + (0.02 * wanted.mean() if customers > 256 else 0)
+    assert found.std() == pytest.approx(wanted.std(), rel=0.35, abs=0.05)
+
+
+def test_perplexity_is_that_of_the_score(odd):
+    for row in language_model.score_documents(odd).collect():
+        assert row.perplexity == pytest.approx(10 ** (-row.score / row.n_tokens))
+
+
 def test_the_whole_word_before_is_the_context(spark, documents_of):
     rows = [(i, "the alpha " * 30 + "she beta " * 30, "en", "a") for i in range(40)]
     documents = documents_of(rows).select("doc_id", "text")

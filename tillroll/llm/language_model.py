@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from tillroll.llm.common import (
+    collect_garbage,
     forget,
     give_back_memory,
     giving_back,
@@ -386,24 +387,32 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
     counted = learned.select("text").mapInArrow(count, NOTE_SCHEMA)
     merged = store(counted.groupBy("bucket").applyInArrow(giving_back(merge), NOTE_SCHEMA), "cells")
     owned = store(of(merged, "whole").groupBy("bucket").applyInArrow(giving_back(own), NOTE_SCHEMA), "owned")
-    moving = of(merged, "moving")
-    kept, passed = [], []
+    moving, stored = of(merged, "moving"), []
+    kept = []
     for sweep in range(BURN + SAMPLES + 1):
         reports = moving.mapInArrow(report, NOTE_SCHEMA).unionByName(owned)
         totals = store(reports.groupBy("bucket").applyInArrow(giving_back(total), NOTE_SCHEMA), "totals")
-        passed.append(totals)
-        if sweep > BURN:  # a seating that is kept, by its place
+        if sweep > BURN:  # of a seating that is kept, by its place, only the numbers of tables
             number = F.lit(sweep - BURN - 1).cast("long")
-            kept += [
-                of(totals, "tables").withColumn("source", number),
-                moving.withColumn("source", number),
-            ]
+            nothing = {name: F.lit(None).cast("binary") for name in "abc"}
+            numbers = moving.withColumns(nothing).withColumn("source", number)
+            kept.append(
+                store(
+                    of(totals, "tables").withColumn("source", number).unionByName(numbers),
+                    "sample",
+                )
+            )
+        following = []
         if sweep < BURN + SAMPLES:
             # One row for each owner.
             every = sum(int(_unpack(r["c"])[0]) for r in of(totals, "tables").select("c").collect())
             given = moving.unionByName(of(totals, "answer")).groupBy("bucket")
             moving = store(given.applyInArrow(giving_back(seat(sweep, every)), NOTE_SCHEMA), "seating")
-            passed.append(moving)
+            following = [moving]
+        # What the sweep has read is of no more use.
+        forget(spark, totals, *stored)
+        stored = following
+        collect_garbage(spark)
 
     def assemble(block: pa.Table) -> pa.Table:
         bucket = block.column("bucket")[0].as_py()
@@ -438,7 +447,8 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
     for part in kept:
         parts = parts.unionByName(part)
     model = store(parts.groupBy("bucket").applyInArrow(giving_back(assemble), MODEL_SCHEMA), "seatings")
-    forget(spark, merged, owned, *passed)
+    forget(spark, merged, owned, *kept)
+    collect_garbage(spark)
     return model
 
 
@@ -513,7 +523,8 @@ class Chances:
 
 
 def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and the
+    perplexity, ``10 ^ (-score / n_tokens)``."""
     spark = documents.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -527,7 +538,6 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
     learned = read.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
     hot = hot_words(learned, buckets)
     model = _train(learned, buckets, hot, seed)
-    spark._jvm.System.gc()  # what was shuffled for training goes once nothing refers to it
     totals = np.zeros(SAMPLES + 2)
     # One row for each place.
     for row in (
@@ -656,7 +666,12 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double",
     )
-    return scored.withColumn("train_tokens", F.lit(int(totals[-1])).cast("long"))
+    return scored.withColumns(
+        {
+            "train_tokens": F.lit(int(totals[-1])).cast("long"),
+            "perplexity": F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")),
+        }
+    )
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
