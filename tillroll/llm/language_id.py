@@ -36,7 +36,7 @@ LABEL = "_language_id_label"
 FOLDS, HELD_OUT = 3, 1
 WINDOW, WINDOWS, PER_LANGUAGE = 64, 6, 256
 #: Parts in which candidates for learning are ranked first.
-PARTS = 64
+PARTS = 16
 STATES, STEPS, BATCH, RATE = 8, 220, 192, 0.02
 #: Windows that go through the network together.
 TOGETHER = 2048
