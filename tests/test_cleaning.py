@@ -206,3 +206,31 @@ def test_profile_of_hand_made_lines(spark):
     present = {r.column: r.present for r in profiling.required_columns(
         raw.drop("Country")).collect()}
     assert not present["Country"] and present["Invoice"] and len(present) == 8
+
+
+def test_dates_in_several_layouts(spark):
+    texts = {
+        "2010-03-04 5:06:07": datetime(2010, 3, 4, 5, 6, 7),
+        "2010-03-04T05:06:07": datetime(2010, 3, 4, 5, 6, 7),
+        "2010-03-04 05:06": datetime(2010, 3, 4, 5, 6),
+        "2010-03-04": datetime(2010, 3, 4),
+        "4/3/2010 5:06": datetime(2010, 3, 4, 5, 6),
+        "25/3/2010 5:06": datetime(2010, 3, 25, 5, 6),
+        "3/25/2010 5:06": datetime(2010, 3, 25, 5, 6),
+        "04.03.2010 15:06": datetime(2010, 3, 4, 15, 6),
+        "31/2/2010 5:06": None, "2010": None, "tomorrow": None, "": None, None: None,
+    }
+    schema = ", ".join(f"`{c}` string" for c in schemas.RAW_COLUMNS)
+    lines = spark.createDataFrame([("1", "1", "d", "1", t, "1", "1", "c") for t in texts], schema)
+    layouts = (
+        scalars.ISO, scalars.ISO_T, scalars.ISO_MINUTES, scalars.ISO_DATE,
+        scalars.DAY_FIRST, scalars.MONTH_FIRST,
+    )
+    found = [r.InvoiceDate for r in cleaning.fix_types(lines, layouts).collect()]
+    assert found == list(texts.values())
+    strict = [r.InvoiceDate for r in cleaning.fix_types(lines).collect()]
+    assert strict == [list(texts.values())[0]] + [None] * (len(texts) - 1)
+    scope = profiling.profile_scope(lines, layouts).first()
+    assert scope.unreadable_dates == 4 and scope.date_max == datetime(2010, 3, 25, 5, 6)
+    assert profiling.profile_scope(lines).first().unreadable_dates == len(texts) - 2
+    assert cleaning.clean(lines, layouts).count() == 5  # three moments are written twice

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +16,24 @@ NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}$"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """A way to write a moment: the shape of the whole text, and how its groups are put in the
+    order of year, month, day, hour, minute and second."""
+
+    shape: str
+    order: str | None = None
+
+
+ISO = Layout(TIMESTAMP_SHAPE)
+#: Further layouts that a caller may accept.
+ISO_T = Layout(r"^(\d{4}-\d{2}-\d{2})T(\d{1,2}:\d{2}:\d{2})$", "$1 $2")
+ISO_MINUTES = Layout(r"^(\d{4}-\d{2}-\d{2}) (\d{1,2}:\d{2})$", "$1 $2:00")
+ISO_DATE = Layout(r"^(\d{4}-\d{2}-\d{2})$", "$1 00:00:00")
+DAY_FIRST = Layout(r"^(\d{1,2})[/.](\d{1,2})[/.](\d{4}) (\d{1,2}:\d{2})$", "$3-$2-$1 $4:00")
+MONTH_FIRST = Layout(r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{2})$", "$3-$1-$2 $4:00")
+
+
 def to_number(text: Column) -> Column:
     """Text as double; null where it is no number, as are NaN and infinity."""
     return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
@@ -24,12 +45,18 @@ def to_integer(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_SHAPE), whole)
 
 
-def to_wall_clock(text: Column) -> Column:
+def to_wall_clock(text: Column, layouts: Sequence[Layout] = (ISO,)) -> Column:
     """Text as timestamp without zone, so no session setting can shift it.
 
-    The cast alone would also take ``2010`` or ``2010-03-14``; the shape rules these out.
-    """
-    return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
+    The cast alone would also take ``2010`` or ``2010-03-14``; the shape rules these out. Of
+    several layouts the first whose shape fits and gives a moment counts, for each text."""
+    found = []
+    for layout in layouts:
+        ordered = text
+        if layout.order is not None:
+            ordered = F.regexp_replace(text, layout.shape, layout.order)
+        found.append(F.when(text.rlike(layout.shape), ordered.try_cast("timestamp_ntz")))
+    return F.coalesce(*found) if len(found) > 1 else found[0]
 
 
 def line_revenue(quantity: Column, price: Column) -> Column:

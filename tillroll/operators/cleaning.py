@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,14 +20,17 @@ def _all(tests: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def fix_types(lines: DataFrame) -> DataFrame:
-    """Text to typed columns; what cannot be read becomes null in any ANSI mode."""
+def fix_types(
+    lines: DataFrame, layouts: Sequence[scalars.Layout] = (scalars.ISO,)
+) -> DataFrame:
+    """Text to typed columns; what cannot be read becomes null in any ANSI mode. Dates may be
+    written in any of ``layouts``."""
     return lines.withColumns(
         {
             "Quantity": scalars.to_integer(F.col("Quantity")),
             "Price": scalars.to_number(F.col("Price")),
             "Customer ID": scalars.to_integer(F.col("Customer ID")),
-            "InvoiceDate": scalars.to_wall_clock(F.col("InvoiceDate")),
+            "InvoiceDate": scalars.to_wall_clock(F.col("InvoiceDate"), layouts),
         }
     )
 
@@ -102,10 +105,13 @@ def clean_distinct(distinct: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(
+    raw: DataFrame, layouts: Sequence[scalars.Layout] = (scalars.ISO,)
+) -> DataFrame:
     """The whole chain. Types come first so that equal values count as duplicates however
     they were written; the optimizer moves the filters below the distinct step again."""
-    return raw.transform(fix_types).transform(remove_duplicates).transform(clean_distinct)
+    typed = fix_types(raw, layouts)
+    return typed.transform(remove_duplicates).transform(clean_distinct)
 
 
 def distinct_lines(raw: DataFrame) -> DataFrame:

@@ -181,9 +181,13 @@ def profile_price(raw: DataFrame) -> DataFrame:
     )
 
 
-def profile_scope(raw: DataFrame) -> DataFrame:
-    """Dates and customers that are there but cannot be read have counts of their own."""
-    when, customer = scalars.to_wall_clock(F.col("InvoiceDate")), F.col("Customer ID")
+def profile_scope(
+    raw: DataFrame, layouts: Sequence[scalars.Layout] = (scalars.ISO,)
+) -> DataFrame:
+    """Dates and customers that are there but cannot be read have counts of their own. Dates may
+    be written in any of ``layouts``."""
+    when = scalars.to_wall_clock(F.col("InvoiceDate"), layouts)
+    customer = F.col("Customer ID")
     return raw.agg(
         F.min(when).alias("date_min"),
         F.max(when).alias("date_max"),
