@@ -50,7 +50,12 @@ def _binned(rows: DataFrame, prefix: str, others: Sequence[int], unit: int) -> D
     return (
         rows.withColumn("_on", F.explode(levels))
         .withColumn("_bin", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
-        .withColumnsRenamed({c: f"_{prefix}{c}" for c in ("_start", "_end", "_level")})
+        # Where the bin begins and ends, so that a pair is only compared, not computed with.
+        .withColumn("_from", F.col("_bin") * width)
+        .withColumn("_to", F.col("_from") + width)
+        .withColumnsRenamed(
+            {c: f"_{prefix}{c}" for c in ("_start", "_end", "_level", "_from", "_to")}
+        )
     )
 
 
@@ -83,11 +88,10 @@ def overlapping_pairs(
     pairs = _binned(one, a, two_levels, unit).join(_binned(two, b, one_levels, unit), same)
     begin = F.greatest(f"_{a}_start", f"_{b}_start")
     close = F.least(f"_{a}_end", f"_{b}_end")
-    width = _width(unit)
     rules = [
         F.greatest(f"_{a}_level", f"_{b}_level") == F.col("_on"),
         begin < close,
-        begin - F.pmod(begin, width) == F.col("_bin") * width,
+        (begin >= F.col(f"_{a}_from")) & (begin < F.col(f"_{a}_to")),
     ]
     return pairs.where(reduce(lambda x, y: x & y, rules)).select(
         *(f"`{a}{c}`" for c in left.columns),
