@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 from tillroll.functions.carry import carry_forward
+from tillroll.functions.scalars import exact_sum
 from tillroll.operators.as_of import as_of_join
 from tillroll.operators.intervals import overlapping_pairs
 
@@ -136,3 +137,15 @@ def test_copies_follow_levels_and_not_lengths(spark):
     assert module._binned(b, "b_", a_levels, unit).count() <= 100 * 3 * 2
     assert overlapping_pairs(long, short, unit_seconds=60).count() == 100
     assert overlapping_pairs(long, short.limit(0)).count() == 0
+
+
+def test_how_long_pairs_overlap_and_sums_beyond_64_bits(spark):
+    schema = "start timestamp_ntz, end timestamp_ntz"
+    one = spark.createDataFrame([(at(0), at(90)), (at(200), at(260))], schema)
+    two = spark.createDataFrame([(at(30), at(240))], schema)
+    pairs = overlapping_pairs(one, two)
+    assert sorted(r.overlap_micros for r in pairs.collect()) == [40 * 60_000_000, 60 * 60_000_000]
+    rows = [(1, 2**63 - 1), (1, 2**63 - 1), (1, -5), (2, -(2**63)), (2, -(2**63)), (3, None)]
+    sums = spark.createDataFrame(rows, "k int, x bigint").groupBy("k").agg(exact_sum(F.col("x")).alias("s"))
+    assert sums.schema["s"].dataType.simpleString() == "decimal(38,0)"
+    assert {r.k: r.s for r in sums.collect()} == {1: 2**64 - 7, 2: -(2**64), 3: None}

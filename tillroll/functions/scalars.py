@@ -81,6 +81,16 @@ def region_group(country: Column) -> Column:
     return choice
 
 
+def exact_sum(number: Column) -> Column:
+    """The sum of a bigint as decimal(38,0), where it may go beyond 64 bits.
+
+    The upper and lower 32 bits are added up apart, as bigint; a decimal would be added as an
+    object for each row."""
+    high = F.sum(F.shiftright(number, 32)).cast("decimal(38,0)")
+    low = F.sum(number.bitwiseAND(F.lit((1 << 32) - 1))).cast("decimal(38,0)")
+    return (high * F.lit(1 << 32).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent with two decimals, null when there is nothing to divide by."""
     return F.round(part * F.lit(100.0) / F.nullif(whole, F.lit(0)), 2)

@@ -71,7 +71,8 @@ def overlapping_pairs(
     """The pairs of half-open intervals that have a moment in common and the same ``keys``.
 
     Returns the columns of both tables, each under its prefix of ``names``, and
-    ``overlap_start``, ``overlap_end``. Time is cut into bins whose width doubles from level to
+    ``overlap_start``, ``overlap_end`` and ``overlap_micros``, how long that is; a sum over pairs
+    need not take moments apart again. Time is cut into bins whose width doubles from level to
     level. An interval belongs to the level whose bins are as long as itself, and a pair meets on
     the higher level of its two. There both touch a few bins only, so copies follow the number
     of levels, not the length of an interval; and of bins in common the one that has the first
@@ -98,4 +99,5 @@ def overlapping_pairs(
         *(f"`{b}{c}`" for c in right.columns),
         from_micros(begin).alias("overlap_start"),
         from_micros(close).alias("overlap_end"),
+        (close - begin).alias("overlap_micros"),
     )

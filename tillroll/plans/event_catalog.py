@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.moments import DAY, micros
+from tillroll.functions.scalars import exact_sum
 from tillroll.operators import as_of, intervals, semistructured, sketches
 from tillroll.sources.events import as_runs, in_event_time, read_events
 from tillroll.sources.staging import stage
@@ -113,12 +114,12 @@ def _campaign_shipments(spark: SparkSession, folder: str) -> DataFrame:
     pairs = intervals.overlapping_pairs(
         _shipments(spark, folder), campaigns, names=("shipment_", "campaign_")
     )
-    lasts = micros(F.col("overlap_end")) - micros(F.col("overlap_start"))
+    lasts = F.col("overlap_micros")
     return pairs.groupBy(
         F.col("campaign_event_type").alias("event_type"), F.col("campaign_day").alias("day")
     ).agg(
         F.count(F.lit(1)).alias("shipments"),
-        F.sum(lasts.cast("decimal(38,0)")).alias("micros"),
+        exact_sum(lasts).alias("micros"),
     )
 
 
