@@ -13,6 +13,7 @@ from tillroll.functions.moments import micros, to_clock, to_instant
 from tillroll.sources.events import EVENTS, as_runs
 from tillroll.streaming import event_windows as ew
 from tillroll.streaming import sessions as se
+from tillroll.streaming.runs import run_available, state_partitions
 
 START = datetime(2024, 3, 9, 20, 0)  # a spring night on which clocks change in some zones
 
@@ -148,3 +149,21 @@ def test_stream_and_table_agree_on_final_sessions(spark):
     assert found and not found - table
     mark = frame.agg(F.max("ts")).first()[0] - timedelta(minutes=10)
     assert all(r[2] + timedelta(hours=1) > mark for r in (table - found).elements())
+
+
+def test_the_state_has_partitions_for_its_rows(spark, tmp_path):
+    frame = events(spark, [(0, 1, "a"), (70, 2, "b"), (200, 3, None), (None, 4, "a")])
+    assert ew.window_groups(frame) == 3 and ew.window_groups(frame.limit(0)) == 0
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 600)
+        wanted = [state_partitions(spark, n) for n in (0, 10**5 * (cores + 5), 10**5 * 599 + 1, 10**9)]
+        assert wanted == [cores, cores + 5, 600, 600]
+        stream, runs = as_runs(frame, F.lit(0).cast("bigint"))
+        for _ in runs:
+            run_available(ew.window_totals(stream), f"{tmp_path}/sink", f"{tmp_path}/state", 3)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "600"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert {p.name for p in (tmp_path / "state/state/0").iterdir() if p.name.isdigit()} == {"0", "1", "2"}

@@ -11,6 +11,7 @@ from tillroll.operators import as_of, intervals, semistructured, sketches
 from tillroll.sources.events import as_runs, in_event_time, read_events
 from tillroll.sources.staging import stage
 from tillroll.streaming import event_windows, sessions
+from tillroll.streaming.runs import state_partitions
 
 #: A tenth of the events come up to two days late.
 LATE_EVERY, LATE_DIGIT, LATE_HOURS = 10, 3, 48
@@ -28,7 +29,9 @@ def _event_windows(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(0)
     arrived = F.timestamp_add("HOUR", hours.cast("int"), F.col("ts"))
     stream, runs = as_runs(events, _period(arrived, WINDOW_RUN_DAYS))
-    final = event_windows.window_runs(stream, runs)
+    # Tasks add up their windows first, so a run gives a partition a row for each group and task.
+    partitions = state_partitions(spark, event_windows.window_groups(events))
+    final = event_windows.window_runs(stream, runs, partitions=partitions)
     return event_windows.with_late_rows(final, events)
 
 
@@ -43,7 +46,7 @@ def _sessions(spark: SparkSession, folder: str) -> DataFrame:
 def _session_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = read_events(spark, folder)
     stream, runs = as_runs(events, _period(F.col("ts"), SESSION_RUN_DAYS))
-    return sessions.session_runs(stream, runs)
+    return sessions.session_runs(stream, runs, partitions=state_partitions(spark, events.count()))
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:

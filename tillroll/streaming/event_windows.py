@@ -52,20 +52,29 @@ def window_totals(
     )
 
 
+def window_groups(
+    events: DataFrame, keys: Sequence[str] = ("event_type",), length: str = LENGTH
+) -> int:
+    """About how many windows and keys a table of events has, which bounds the state."""
+    windows = F.window(to_instant(F.col("ts")), length).alias("_window")
+    return events.select(windows, *keys).agg(F.approx_count_distinct(F.struct("_window", *keys))).first()[0]
+
+
 def window_runs(
     stream: DataFrame,
     runs: Iterable,
     keys: Sequence[str] = ("event_type",),
     length: str = LENGTH,
     lateness: str = LATENESS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The final windows after all ``runs`` of the stream: each step of ``runs`` lets new rows
-    arrive, then one run takes them."""
+    arrive, then one run takes them. The state has so many ``partitions``."""
     spark = stream.sparkSession
     totals = window_totals(stream, keys, length, lateness)
     sink, checkpoint = new_folder(spark, "windows"), new_folder(spark, "windows-state")
     for _ in runs:
-        run_available(totals, sink, checkpoint)
+        run_available(totals, sink, checkpoint, partitions)
     return written(spark, totals, sink)
 
 

@@ -84,11 +84,13 @@ def session_runs(
     runs: Iterable,
     gap_seconds: int = GAP_SECONDS,
     lateness: str = LATENESS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The sessions that are final after all ``runs`` of the stream."""
+    """The sessions that are final after all ``runs`` of the stream. The state has so many
+    ``partitions``."""
     spark = stream.sparkSession
     found = sessions(stream, gap_seconds, lateness)
     sink, checkpoint = new_folder(spark, "sessions"), new_folder(spark, "sessions-state")
     for _ in runs:
-        run_available(found, sink, checkpoint)
+        run_available(found, sink, checkpoint, partitions)
     return written(spark, found, sink)
