@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,10 @@ from tillroll.operators import rollups, snapshots
 SCHEMA = "k int, j string, v double, w string"
 
 
+def plan_text(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
 def loads(seed):
     rng = random.Random(seed)
     pick = lambda *choices: rng.choice(choices)
@@ -131,3 +136,38 @@ def test_lines_are_shuffled_once(spark):
     # Both expansions stand on rows per order, which the first exchange has made.
     by_order = 'hashpartitioning(Country'
     assert plan.count("Expand") == 2 and by_order in plan
+
+
+WIDE = "k int, n bigint, f double, d decimal(18,2), r decimal(38,2), t timestamp_ntz, b boolean, w string"
+
+
+def wide_rows(count):
+    moment = datetime(2024, 1, 1)
+    return [
+        (i, i * 7, i / 3, Decimal(i), Decimal(i), moment + timedelta(i), i % 2 == 0, "a long text " * 9)
+        for i in range(count)
+    ]
+
+
+def test_columns_of_every_type_are_compared(spark):
+    before = wide_rows(12)
+    before[10] = (10, 1, float("nan"), None, None, None, None, None)
+    before[11] = (11, 1, 0.0, None, None, None, None, None)
+    after = list(before)
+    names = "nfdrtbw"
+    for i, change in enumerate((-1, None, Decimal("0.01"), None, datetime(1900, 1, 1), None, "x")):
+        after[i] = (*before[i][: i + 1], change, *before[i][i + 2 :])
+    after[7] = (7, None, None, *before[7][3:])
+    after[11] = (11, 1, -0.0, *before[11][3:])  # equal to 0.0, as NaN is to itself
+    frames = [spark.createDataFrame(rows, WIDE) for rows in (before, after)]
+    found = snapshots.changes_by_key(*frames, ["k"]).collect()
+    assert {r.k: r.changed_columns for r in found} == {
+        **{i: [name] for i, name in enumerate(names)}, 7: ["n", "f"],
+    }
+
+
+def test_short_values_are_sent_as_they_are(spark):
+    frame = spark.createDataFrame(wide_rows(3), WIDE)
+    changes = plan_text(snapshots.changes_by_key(frame, frame, ["k"]))
+    assert "max(n" in changes and "max(t" in changes and "bit_xor(xxhash64(isnull(w" in changes
+    assert "decimal(38,0)" not in changes
