@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pytest
 from tillroll.operators import rollups, snapshots
+from tillroll.plans.catalog import QUERIES
 
 SCHEMA = "k int, j string, v double, w string"
 
@@ -166,8 +167,25 @@ def test_columns_of_every_type_are_compared(spark):
     }
 
 
+def test_rows_told_by_digests_move_no_columns(spark):
+    before = wide_rows(30) + wide_rows(3) + [(None, None, None, None, None, None, None, None)] * 2
+    after = wide_rows(20) * 2 + [(None, None, None, None, None, None, None, "x")] + before[-1:]
+    frames = [spark.createDataFrame(rows, WIDE) for rows in (before, after)]
+    exact, told = (snapshots.changes_by_row(*frames, digests=d) for d in (False, True))
+    assert told.columns == ["digest_1", "digest_2", "rows_before", "rows_after"]
+    summaries = [sorted(map(tuple, snapshots.change_summary(x).collect())) for x in (exact, told)]
+    assert summaries[0] == summaries[1]
+    counts = [Counter((r.rows_before, r.rows_after) for r in x.collect()) for x in (exact, told)]
+    assert counts[0] == counts[1]
+
+
 def test_short_values_are_sent_as_they_are(spark):
     frame = spark.createDataFrame(wide_rows(3), WIDE)
     changes = plan_text(snapshots.changes_by_key(frame, frame, ["k"]))
     assert "max(n" in changes and "max(t" in changes and "bit_xor(xxhash64(isnull(w" in changes
     assert "decimal(38,0)" not in changes
+
+
+def test_the_summary_sends_digests_alone(spark, sf_small):
+    summary = plan_text(QUERIES["load_change_summary"](spark, sf_small))
+    assert "hashpartitioning(digest_1" in summary and "hashpartitioning(Description" not in summary

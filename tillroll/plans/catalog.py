@@ -107,7 +107,8 @@ def _load_changes(cleaned: DataFrame) -> DataFrame:
 
 
 def _load_summary(cleaned: DataFrame) -> DataFrame:
-    return snapshots.change_summary(snapshots.changes_by_row(cleaned, _later_load(cleaned)))
+    rows = snapshots.changes_by_row(cleaned, _later_load(cleaned), digests=True)
+    return snapshots.change_summary(rows)
 
 
 def _region_months(cleaned: DataFrame) -> DataFrame:
