@@ -97,3 +97,24 @@ def test_empty_table(spark, none, tmp_path):
     path = str(tmp_path / "tokens.orc")
     write_tokens(none, path, FILE)
     assert token_digest(spark, path).count() == 0
+
+
+def test_the_library_gets_some_texts_at_once(encoder, monkeypatch):
+    """Texts that cannot be cut were all with the library at once."""
+    own = Encoder(FILE)
+    sizes = []
+    inner = own.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(sum(map(len, texts)))
+            return inner.encode_batch_fast(texts, **options)
+
+    own.tokenizer = Watched()
+    monkeypatch.setattr(token_output, "AT_ONCE", 400)
+    texts = [f"two  blanks {i} and more" for i in range(100)] + ["x " * 900, ""]
+    ids, bounds = own.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [
+        whole(encoder, text) for text in texts
+    ]
+    assert len(sizes) > 5 and sum(size > 400 for size in sizes) <= 1

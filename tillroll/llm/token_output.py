@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -41,9 +41,11 @@ from tillroll.sources.staging import new_folder
 END_ID = 2
 CACHE_PIECES = 600_000
 #: Text that is encoded at once: much, as each different piece of a batch is looked up once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Pieces that are encoded as one text.
 TOGETHER = 500
+#: Characters that are with the library at once, or one text.
+AT_ONCE = 1 << 18
 SCHEMA = "doc_id long, part int, first long, ids array<int>"
 
 #: A blank after which a cut could change the split: before any white space or at the end.
@@ -76,6 +78,19 @@ def split_marks(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pc.if_else(pa.array(marked), stems, words), marked
 
 
+def _portions(texts: Iterable[str], most: int) -> Iterator[list[str]]:
+    """Lists of texts with so many characters at most, or of one text."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 class Encoder:
     """Encodes batches of texts; keeps the ids of pieces that it has seen.
 
@@ -120,20 +135,28 @@ class Encoder:
         self.ids = self.ids[shift + np.arange(len(shift))]
         self.batches = np.ones(len(numbers), np.int32)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [encoding.ids for encoding in found]
+    def _encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has. What the library returns takes a hundred
+        bytes for each id, so only some texts are with it at once."""
+        flat, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for some in _portions(texts, AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            ids = [encoding.ids for encoding in found]
+            del found
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
+            lengths.append(sizes)
+        return np.concatenate(flat), np.concatenate(lengths)
 
     def _add(self, texts: pa.Array, behind_blank: bool) -> int:
         """Encode and keep pieces; the number of the first of them.
 
         Those that begin with the blank they were cut at are encoded many as one text, which is
         twice as fast, and told apart by their bytes."""
-        first, words = len(self.starts), texts.to_pylist()
+        first = len(self.starts)
         if behind_blank:
-            groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-            found = self._encode([" " + " ".join(group) for group in groups])
-            flat = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+            groups = (texts.slice(i, TOGETHER) for i in range(0, len(texts), TOGETHER))
+            flat, _ = self._encode(" " + " ".join(group.to_pylist()) for group in groups)
             ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64) + 1)
             reached = np.cumsum(self.bytes_of[flat])
             stops = np.searchsorted(reached, ends) + 1
@@ -141,9 +164,7 @@ class Encoder:
                 raise ValueError("the tokenizer joins what lies on both sides of a blank")
             lengths = np.diff(stops, prepend=0)
         else:
-            found = self._encode(words)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+            flat, lengths = self._encode(text.as_py() for text in texts)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, flat])
@@ -279,6 +300,7 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(tokenizer_file), 0
         for batch in regrouped(batches, "text", BATCH_BYTES):
+            give_back_memory()
             ids, bounds = encoder.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
