@@ -315,3 +315,18 @@ def test_seating_does_not_depend_on_the_number_of_buckets(documents_of):
         seated.append(cells)
     assert seated[0] == seated[1] and max(c[0] for c in seated[0].values()) > 2 * language_model.SINGLE
     assert len({c[1:] for c in seated[0].values()}) > 5
+
+
+def test_documents_are_scored_in_rounds(spark, odd, monkeypatch):
+    """Only a part of the documents asks at once; the number of rounds changes no row."""
+    from tillroll.llm import common
+
+    def rows():
+        return sorted(map(repr, language_model.score_documents(odd).collect()))
+
+    stored = []
+    monkeypatch.setattr(language_model, "store", lambda df, name: stored.append(name) or common.store(df, name))
+    three = rows()
+    assert stored.count("scores") == language_model.ROUNDS > 1
+    monkeypatch.setattr(language_model, "ROUNDS", 1)
+    assert rows() == three

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import string
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -52,9 +53,12 @@ def collect_garbage(spark: SparkSession) -> None:
     """Let the driver collect its garbage after a large step.
 
     Spark deletes the shuffle files of a finished job when the driver no longer knows its plan,
-    which a driver with memory to spare finds out late."""
-    gc.collect()
-    spark._jvm.java.lang.System.gc()
+    which a driver with memory to spare finds out late. What has only just ended is still held
+    by the listeners of Spark when it is collected first, so it is done twice."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.java.lang.System.gc()
+        time.sleep(0.3)
 
 
 def ship(spark: SparkSession) -> None:

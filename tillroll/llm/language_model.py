@@ -24,8 +24,8 @@ their tables there and get the totals of all buckets back. A single customer has
 only cells with several take part. Each cell draws by a key of its own, so neither seating nor
 scores depend on the number of buckets.
 
-Documents are scored by slices: a slice asks for its words and its cells, and sums up by document
-what comes back.
+Documents are scored in rounds, and in each by slices: a slice asks for its words and its cells,
+and sums up by document what comes back. After a round only the scores stay.
 
 Defined results: words are compared with A-Z lower-cased; a null or empty text is its end only.
 Every row is scored by itself; a row without id counts as one with an empty id for the split.
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,8 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 100.0
 BURN, SAMPLES = 2, 3
 SINGLE = 256
 SLICE = 2000
+#: Documents are scored in so many rounds, each a part of them by hash.
+ROUNDS = 3
 BUCKET_TOKENS = 1_000_000
 #: One of so many documents tells which words are hot: those with more than a quarter of a bucket.
 HOT_PART = 64
@@ -653,19 +656,31 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
             }
         )
 
-    asked = read.mapInArrow(deal, NOTE_SCHEMA).select(
-        "*", *(F.lit(None).cast("binary").alias(n) for n in MODEL_FIELDS[1:])
-    )
     models = model.select(
         "bucket", F.lit("model").alias("kind"), F.lit(None).cast("long").alias("source"),
         *(F.lit(None).cast("binary").alias(n) for n in "abcdef"), *MODEL_FIELDS[1:],
     )
-    parts = asked.unionByName(models).groupBy("bucket").applyInArrow(giving_back(answer), NOTE_SCHEMA)
-    scored = parts.groupBy("source").applyInArrow(
-        giving_back(gather),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-        "score double",
-    )
+
+    def score(part: DataFrame) -> DataFrame:
+        asked = part.mapInArrow(deal, NOTE_SCHEMA).select(
+            "*", *(F.lit(None).cast("binary").alias(n) for n in MODEL_FIELDS[1:])
+        )
+        parts = asked.unionByName(models).groupBy("bucket").applyInArrow(giving_back(answer), NOTE_SCHEMA)
+        found = parts.groupBy("source").applyInArrow(
+            giving_back(gather),
+            "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+            "score double",
+        )
+        return store(found, "scores")
+
+    # What a round asked and was answered goes before the next; together these are more than all
+    # documents. A document's score does not depend on those beside it.
+    place, scored = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)), []
+    for number in range(ROUNDS):
+        scored.append(score(read.where(place == number)))
+        collect_garbage(spark)
+    forget(spark, model)
+    scored = reduce(DataFrame.unionByName, scored)
     return scored.withColumns(
         {
             "train_tokens": F.lit(int(totals[-1])).cast("long"),
