@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import ODD
-from tillroll.llm import language_id, language_model, quality
+from tillroll.llm import language_id, language_model, quality, shingles
+from xxhash import xxh3_64_intdigest
 
 
 def bucket(doc, modulus):
@@ -330,3 +331,51 @@ def test_documents_are_scored_in_rounds(spark, odd, monkeypatch):
     assert stored.count("scores") == language_model.ROUNDS > 1
     monkeypatch.setattr(language_model, "ROUNDS", 1)
     assert rows() == three
+
+
+def test_notes_between_buckets_go_by_crews(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i * k % 61} w{k % 7}" for k in range(60))) for i in range(300)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    buckets, stored, answers, models = 19, language_model.store, [], []
+
+    def counting(df, name):
+        out = stored(df, name)
+        if name == "totals":
+            answers[-1].append(out.where("kind = 'answer'").count())
+        return out
+
+    monkeypatch.setattr(language_model, "store", counting)
+    for direct in (buckets, 1):
+        monkeypatch.setattr(language_model, "DIRECT", direct, raising=False)
+        answers.append([])
+        models.append(sorted(map(repr, language_model.train(documents, buckets).collect())))
+    # 19 buckets are four crews of five: no bucket writes to more than four others.
+    assert min(answers[0]) > 200 and max(answers[1]) <= 4 * buckets
+    assert models[0] == models[1]
+
+
+def test_words_are_split_at_ascii_white_space():
+    odd = [None, "", " \t", " a  B\x0b\x0c\r\nb a ", "\x1c\x1f \x85 \xa0 cİ \x00", "A"]
+    place_of = {b"": 0}
+    want = [[place_of.setdefault(w, len(place_of)) for w in [*shingles.words(t), b""]] for t in odd]
+    hashes, place, document, before = language_model.tokens(odd)
+    assert place.tolist() == [p for own in want for p in own]
+    assert document.tolist() == [i for i, own in enumerate(want) for _ in own]
+    assert before.tolist() == [p for own in want for p in [0, *own[:-1]]]
+    assert hashes[1:].tolist() == [xxh3_64_intdigest(w) for w in place_of][1:]
+
+
+def test_pairs_are_sorted_and_numbered_in_full():
+    rng = np.random.default_rng(5)
+    rank = rng.integers(0, 9, 2000)
+    # Contexts that differ in their last bits only, which a number of both leaves out.
+    contexts = np.uint64(1 << 63) + rng.integers(0, 8, 2000).astype(np.uint64)
+    order, plain = language_model._by_pair(rank, contexts, 9), np.lexsort((contexts, rank))
+    assert (rank[order] == rank[plain]).all() and (contexts[order] == contexts[plain]).all()
+    for largest in (7, 1 << 62):
+        keys = rng.integers(0, largest, 2000)
+        for found, want in zip(
+            language_model._numbered(keys, largest), np.unique(keys, return_inverse=True), strict=True
+        ):
+            assert (found == want).all()
+        assert (language_model._different(keys) == np.unique(keys)).all()

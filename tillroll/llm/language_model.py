@@ -20,9 +20,9 @@ the word, those of a hot word by the hash of the pair; which words are hot is gu
 of the documents and decides only where cells lie. Counts are merged in each slice of documents
 first. What concerns a word as a whole, its customers and tables as a context and as a dish of
 the parent, lies where the hash of the word says. Before each sweep the buckets send the sums of
-their tables there and get the totals of all buckets back. A single customer has one table, so
-only cells with several take part. Each cell draws by a key of its own, so neither seating nor
-scores depend on the number of buckets.
+their tables there and get the totals of all buckets back; many buckets write by way of crews. A
+single customer has one table, so only cells with several take part. Each cell draws by a key of
+its own, so neither seating nor scores depend on the number of buckets.
 
 Documents are scored in rounds, and in each by slices: a slice asks for its words and its cells,
 and sums up by document what comes back. After a round only the scores stay.
@@ -68,24 +68,35 @@ SLICE = 2000
 #: Documents are scored in so many rounds, each a part of them by hash.
 ROUNDS = 3
 BUCKET_TOKENS = 1_000_000
+#: Up to so many buckets write to each other. More go by crews, each of as many buckets as there are
+#: crews, so that notes do not grow with the square of the buckets.
+DIRECT = 128
 #: One of so many documents tells which words are hot: those with more than a quarter of a bucket.
 HOT_PART = 64
 END = xxh3_64_intdigest(b"", seed=1)
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(
+    texts: pa.Array | pa.ChunkedArray | list[str | None],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, and for every token: place of its word, document, place of the word before."""
-    known: dict[bytes, int] = {b"": 0}
-    flat: list[int] = []
-    lengths = np.empty(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = text.encode().lower().split() if text else []
-        flat += [known.setdefault(w, len(known)) for w in words]
-        flat.append(0)
-        lengths[i] = len(words) + 1
-    hashes = np.fromiter(map(xxh3_64_intdigest, known), np.uint64, len(known))
+    if isinstance(texts, list):
+        texts = pa.array(texts, pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, document = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy()
+    given = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves empty words
+    words, document = words.filter(given), document[given.to_numpy(zero_copy_only=False)]
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    coded = words.dictionary_encode()
+    known = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    hashes = np.empty(len(known) + 1, np.uint64)
     hashes[0] = END
-    place = np.array(flat, np.int64)
+    hashes[1:] = np.fromiter(map(xxh3_64_intdigest, known), np.uint64, len(known))
+    lengths = np.bincount(document, minlength=len(texts)) + 1
+    place = np.zeros(len(document) + len(texts), np.int64)
+    # The end of each document before moves a word by one.
+    place[np.arange(len(document)) + document] = coded.indices.to_numpy().astype(np.int64) + 1
     before = np.r_[0, place[:-1]] if len(place) else place
     return hashes, place, np.repeat(np.arange(len(texts)), lengths), before
 
@@ -97,8 +108,12 @@ def _pack(numbers: np.ndarray) -> bytes:
     return bytes([width]) + numbers.astype(f"u{width}").tobytes()
 
 
+def _narrow(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", offset=1)
+
+
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"u{packed[0]}", offset=1).astype(np.int64)
+    return _narrow(packed).astype(np.int64)
 
 
 def _hashes(packed: bytes) -> np.ndarray:
@@ -126,6 +141,41 @@ def _cell_bucket(
     return _bucket_of(by, buckets)
 
 
+def _different(numbers: np.ndarray) -> np.ndarray:
+    """Different numbers in ascending order, by sorting: ``np.unique`` hashes them, which takes
+    thirty times as long on a slice."""
+    numbers = np.sort(numbers)
+    return numbers[np.r_[True, numbers[1:] != numbers[:-1]]] if len(numbers) else numbers
+
+
+def _numbered(keys: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the inverse, for numbers up to ``largest``: each is sorted with its
+    place behind it, if both are 63 bits at most."""
+    bits = len(keys).bit_length()
+    if largest.bit_length() + bits > 63 or not len(keys):
+        return np.unique(keys, return_inverse=True)
+    both = np.sort(keys << bits | np.arange(len(keys)))
+    at, both = both & ((1 << bits) - 1), both >> bits
+    new = np.r_[True, both[1:] != both[:-1]]
+    back = np.empty(len(keys), np.int64)
+    back[at] = np.cumsum(new) - 1
+    return both[new], back
+
+
+def _by_pair(rank: np.ndarray, contexts: np.ndarray, ranks: int) -> np.ndarray:
+    """The order by rank and context.
+
+    One sort by a number of the rank and the leading bits of the context; where these do not tell
+    contexts of a rank apart, by both in full."""
+    bits = max(1, ranks.bit_length())
+    keys = rank.astype(np.uint64) << np.uint64(64 - bits) | contexts >> np.uint64(bits)
+    order = np.argsort(keys)
+    keys, given = keys[order], contexts[order]
+    if ((keys[1:] == keys[:-1]) & (given[1:] != given[:-1])).any():
+        return np.lexsort((contexts, rank))
+    return order
+
+
 def _by_owner(names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Different names in order of owner and hash, and where each given one is among them."""
     own, back = np.unique(names, return_inverse=True)
@@ -217,6 +267,68 @@ def tables_of(
     return out
 
 
+def crew_size(buckets: int) -> int:
+    """How many buckets are a crew."""
+    return 1 if buckets <= DIRECT else math.isqrt(buckets - 1) + 1
+
+
+def _to_crews(
+    source: int, kind: str, buckets: int, size: int, lengths: np.ndarray, names: np.ndarray, *numbers
+) -> list[tuple]:
+    """A note for each crew of owners, of arrays in order of owner with ``lengths`` for each.
+
+    It goes to the owner itself if crews are single buckets, else to the relay that stands between
+    the crew of the source and that of the owners."""
+    crews, mine = -(-buckets // size), source // size
+    ends = np.r_[0, np.cumsum(lengths)]
+    rows = []
+    for crew in range(crews):
+        first, last = crew * size, min(crew * size + size, buckets)
+        run = slice(ends[first], ends[last])
+        if run.start == run.stop:
+            continue
+        packed = [_pack(x[run]) for x in numbers]
+        given = [names[run].tobytes(), *packed, *[None] * (4 - len(packed))]
+        to = crew if size == 1 else crew * crews + mine
+        rows.append(_note(to, kind, source, *given, _pack(lengths[first:last])))
+    return rows
+
+
+def _relay(buckets: int, size: int):
+    """What a crew has for another crew: notes by sender become notes by recipient."""
+    crews = -(-buckets // size)
+
+    def turn(block: pa.Table) -> pa.Table:
+        rows = sorted(block.to_pylist(), key=lambda r: r["source"])
+        crew, senders = divmod(rows[0]["bucket"], crews)
+        # By sender and recipient.
+        lengths = np.array([_unpack(r["f"]) for r in rows])
+        ends = np.c_[np.zeros(len(rows), np.int64), lengths.cumsum(1)]
+        at = [r["source"] % size for r in rows]
+
+        def parts(name: str, read) -> list[np.ndarray]:
+            whole = [read(r[name]) for r in rows]
+            return [
+                np.concatenate([x[e[n] : e[n + 1]] for x, e in zip(whole, ends, strict=True)])
+                for n in range(lengths.shape[1])
+            ]
+
+        names = parts("a", _hashes) if rows[0]["a"] else None
+        numbers = [parts(n, _narrow) for n in "bcde" if rows[0][n] is not None]
+        out = []
+        for n in range(lengths.shape[1]):
+            if not lengths[:, n].any():
+                continue
+            of = np.zeros(min(size, buckets - senders * size), np.int64)
+            of[at] = lengths[:, n]
+            packed = [_pack(x[n]) for x in numbers]
+            given = [b"" if names is None else names[n].tobytes(), *packed, *[None] * (4 - len(packed))]
+            out.append(_note(crew * size + n, rows[0]["kind"], senders, *given, _pack(of)))
+        return _notes(out)
+
+    return turn
+
+
 #: One schema for all that goes between buckets: who gets it, what it is, from which bucket or of
 #: which slice, and up to six arrays.
 NOTE_FIELDS = [("bucket", pa.int32()), ("kind", pa.string()), ("source", pa.int64())] + [
@@ -248,7 +360,7 @@ def hot_words(learned: DataFrame, buckets: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, place, _, _ = tokens(batch.column("text").to_pylist())
+            hashes, place, _, _ = tokens(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), pa.array(np.bincount(place, minlength=len(hashes)))],
                 ["word", "number"],
@@ -272,14 +384,13 @@ def train(documents: DataFrame, buckets: int, seed: int = 11) -> DataFrame:
 
 
 def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> DataFrame:
-    spark = learned.sparkSession
+    spark, size = learned.sparkSession, crew_size(buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
             for at in range(0, large.num_rows, SLICE):
                 give_back_memory()
-                texts = large.column("text").slice(at, SLICE).to_pylist()
-                hashes, place, _, before = tokens(texts)
+                hashes, place, _, before = tokens(large.column("text").slice(at, SLICE))
                 keys, counts = np.unique(place * len(hashes) + before, return_counts=True)
                 words, contexts = keys // len(hashes), hashes[keys % len(hashes)]
                 rows = []
@@ -291,24 +402,33 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
                     rows.append(_note(bucket, "counts", 0, *arrays))
                 yield _batch(rows, NOTE_FIELDS)
 
+    def of_owners(names: np.ndarray) -> np.ndarray:
+        """How many of the names each bucket owns."""
+        return np.bincount(_bucket_of(names, buckets), minlength=buckets)
+
     def merge(block: pa.Table) -> pa.Table:
         bucket = block.column("bucket")[0].as_py()
         rows = block.to_pylist()
-        words = np.concatenate([np.repeat(_hashes(r["a"]), _unpack(r["b"])) for r in rows])
+        words = np.concatenate([_hashes(r["a"]) for r in rows])
+        cells, counts = (np.concatenate([_unpack(r[n]) for r in rows]) for n in "bd")
         contexts = np.concatenate([_hashes(r["c"]) for r in rows])
-        counts = np.concatenate([_unpack(r["d"]) for r in rows])
-        order = np.lexsort((contexts, words))
-        words, contexts = words[order], contexts[order]
+        known = _different(words)
+        rank = np.repeat(np.searchsorted(known, words), cells)
+        order = _by_pair(rank, contexts, len(known))
+        rank, contexts = rank[order], contexts[order]
         starts = np.flatnonzero(
-            np.r_[True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]
+            np.r_[True, (rank[1:] != rank[:-1]) | (contexts[1:] != contexts[:-1])]
         )
-        words, contexts = words[starts], contexts[starts]
+        words, contexts = known[rank[starts]], contexts[starts]
         counts = np.add.reduceat(counts[order], starts)
         out = [_note(bucket, "cells", 0, words.tobytes(), contexts.tobytes(), _pack(counts))]
-        # Only cells with several customers move; each begins with one table.
-        moves = counts > 1
-        moving = [words[moves].tobytes(), contexts[moves].tobytes(), _pack(counts[moves])]
-        out.append(_note(bucket, "moving", 0, *moving, _pack(np.ones(moves.sum(), int))))
+        # Only cells with several customers move, here by falling number; each begins with one table.
+        moves = np.flatnonzero(counts > 1)
+        moves = moves[np.argsort(-counts[moves], kind="stable")]
+        names, place = _by_owner(np.r_[words[moves], contexts[moves]], buckets)
+        moving = [_pack(place[: len(moves)]), _pack(place[len(moves) :]), _pack(counts[moves])]
+        tables = np.ones(len(moves), np.int64)
+        out.append(_note(bucket, "moving", 0, names.tobytes(), *moving, _pack(tables)))
         names, place = _by_owner(np.r_[words, contexts], buckets)
         as_word, as_context = place[: len(words)], place[len(words) :]
         sums = [
@@ -316,10 +436,7 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
             for w in (counts, None)
             for p in (as_word, as_context)
         ]
-        for owner, run in _runs(_bucket_of(names, buckets)):
-            out.append(
-                _note(owner, "whole", bucket, names[run].tobytes(), *(_pack(x[run]) for x in sums))
-            )
+        out += _to_crews(bucket, "whole", buckets, size, of_owners(names), names, *sums)
         return _notes(out)
 
     def own(block: pa.Table) -> pa.Table:
@@ -336,68 +453,68 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
         """Tables beyond the first of the cells that move, summed by name, to the owners."""
         for batch in batches:
             for row in batch.to_pylist():
-                words, contexts = _hashes(row["a"]), _hashes(row["b"])
-                beyond = _unpack(row["d"]) - 1
-                names, place = _by_owner(np.r_[words, contexts], buckets)
-                as_word = np.bincount(place[: len(words)], beyond, len(names))
-                as_context = np.bincount(place[len(words) :], beyond, len(names))
-                out = [
-                    _note(
-                        owner, "report", row["bucket"], names[run].tobytes(),
-                        _pack(as_word[run]), _pack(as_context[run]),
-                    )
-                    for owner, run in _runs(_bucket_of(names, buckets))
-                ]
+                names, (as_word, as_context) = _hashes(row["a"]), (_unpack(row[n]) for n in "bc")
+                beyond = _unpack(row["e"]) - 1
+                sums = [np.bincount(p, beyond, len(names)) for p in (as_word, as_context)]
+                out = _to_crews(row["bucket"], "report", buckets, size, of_owners(names), names, *sums)
                 yield _batch(out, NOTE_FIELDS)
 
     def total(block: pa.Table) -> pa.Table:
-        """Tables of an owner's names, for itself and for each bucket that reported some."""
+        """Tables of an owner's names, for itself and for each that reported some."""
         [owned] = _of_kind(block, "owned")
         names, as_word, as_context = _hashes(owned["a"]), _unpack(owned["d"]), _unpack(owned["e"])
         reports = [(r, np.searchsorted(names, _hashes(r["a"]))) for r in _of_kind(block, "report")]
         for r, at in reports:
-            as_word[at] += _unpack(r["b"])
-            as_context[at] += _unpack(r["c"])
+            as_word += np.bincount(at, _unpack(r["b"]), len(names)).astype(np.int64)
+            as_context += np.bincount(at, _unpack(r["c"]), len(names)).astype(np.int64)
         me = owned["bucket"]
         every = _pack(as_word.sum(keepdims=True))
         out = [_note(me, "tables", me, _pack(as_word), _pack(as_context), every)]
         for r, at in reports:
-            out.append(_note(r["source"], "answer", me, _pack(as_word[at]), _pack(as_context[at])))
+            # Back by the way it came: ``f`` has how much of it is for each of the crew.
+            to = r["source"] if size == 1 else r["source"] * -(-buckets // size) + me // size
+            answer = _pack(as_word[at]), _pack(as_context[at])
+            out.append(_note(to, "answer", me, b"", *answer, None, None, r["f"]))
         return _notes(out)
 
     def seat(sweep: int, every: int):
         def of_bucket(block: pa.Table) -> pa.Table:
             [row] = _of_kind(block, "moving")
             answers = _of_kind(block, "answer")
-            words, contexts, counts = _hashes(row["a"]), _hashes(row["b"]), _unpack(row["c"])
+            names, (words, contexts, counts) = _hashes(row["a"]), (_unpack(row[n]) for n in "bcd")
             tables = np.ones(0)
             if len(words):
-                _, place = _by_owner(np.r_[words, contexts], buckets)
-                in_parent = np.concatenate([_unpack(r["a"]) for r in answers])[place[: len(words)]]
-                in_context = np.concatenate([_unpack(r["b"]) for r in answers])[place[len(words) :]]
-                parent = (in_parent - ROOT_DISCOUNT) / (ROOT_STRENGTH + every)
-                weight = (STRENGTH + DISCOUNT * in_context) * parent
+                # Answers come in order of owner, as the names.
+                in_parent, in_context = (np.concatenate([_unpack(r[n]) for r in answers]) for n in "bc")
+                parent = (in_parent[words] - ROOT_DISCOUNT) / (ROOT_STRENGTH + every)
+                weight = (STRENGTH + DISCOUNT * in_context[contexts]) * parent
                 run = np.full(len(words), seed * (BURN + SAMPLES) + sweep, np.uint64)
-                keys = _mixed(_mixed(words, contexts), run)
+                keys = _mixed(_mixed(names[words], names[contexts]), run)
                 tables = tables_of(counts, weight, DISCOUNT, keys=keys)
-            return _notes([_note(row["bucket"], "moving", 0, row["a"], row["b"], row["c"], _pack(tables))])
+            same = [row[n] for n in "abcd"]
+            return _notes([_note(row["bucket"], "moving", 0, *same, _pack(tables))])
 
         return of_bucket
 
     def of(frame: DataFrame, kind: str) -> DataFrame:
         return frame.where(F.col("kind") == kind)
 
+    def delivered(notes: DataFrame) -> DataFrame:
+        if size == 1:
+            return notes
+        return notes.groupBy("bucket").applyInArrow(giving_back(_relay(buckets, size)), NOTE_SCHEMA)
+
     counted = learned.select("text").mapInArrow(count, NOTE_SCHEMA)
     merged = store(counted.groupBy("bucket").applyInArrow(giving_back(merge), NOTE_SCHEMA), "cells")
-    owned = store(of(merged, "whole").groupBy("bucket").applyInArrow(giving_back(own), NOTE_SCHEMA), "owned")
+    owned = store(delivered(of(merged, "whole")).groupBy("bucket").applyInArrow(giving_back(own), NOTE_SCHEMA), "owned")
     moving, stored = of(merged, "moving"), []
     kept = []
     for sweep in range(BURN + SAMPLES + 1):
-        reports = moving.mapInArrow(report, NOTE_SCHEMA).unionByName(owned)
+        reports = delivered(moving.mapInArrow(report, NOTE_SCHEMA)).unionByName(owned)
         totals = store(reports.groupBy("bucket").applyInArrow(giving_back(total), NOTE_SCHEMA), "totals")
         if sweep > BURN:  # of a seating that is kept, by its place, only the numbers of tables
             number = F.lit(sweep - BURN - 1).cast("long")
-            nothing = {name: F.lit(None).cast("binary") for name in "abc"}
+            nothing = {name: F.lit(None).cast("binary") for name in "abcd"}
             numbers = moving.withColumns(nothing).withColumn("source", number)
             kept.append(
                 store(
@@ -409,7 +526,7 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
         if sweep < BURN + SAMPLES:
             # One row for each owner.
             every = sum(int(_unpack(r["c"])[0]) for r in of(totals, "tables").select("c").collect())
-            given = moving.unionByName(of(totals, "answer")).groupBy("bucket")
+            given = moving.unionByName(delivered(of(totals, "answer"))).groupBy("bucket")
             moving = store(given.applyInArrow(giving_back(seat(sweep, every)), NOTE_SCHEMA), "seating")
             following = [moving]
         # What the sweep has read is of no more use.
@@ -433,9 +550,10 @@ def _train(learned: DataFrame, buckets: int, hot: np.ndarray, seed: int) -> Data
         if cells:
             words, contexts, counts = (cells[0][n] for n in "abc")
             every = np.ones((SAMPLES, len(_hashes(words))), np.int64)
-            moves = _unpack(counts) > 1
+            moves = np.flatnonzero(_unpack(counts) > 1)
+            moves = moves[np.argsort(-_unpack(counts)[moves], kind="stable")]
             for row in _of_kind(block, "moving"):
-                every[row["source"], moves] = _unpack(row["d"])
+                every[row["source"], moves] = _unpack(row["e"])
             seated = _pack(every)
         row = (bucket, names, customers, tables, words, contexts, counts, seated)
         return pa.table(
@@ -487,11 +605,11 @@ class Chances:
         self.words = self.names[self.customers[0] > 0]
         self.cell_words = _hashes(row.get("words") or b"")
         self.cell_contexts = _hashes(row.get("contexts") or b"")
-        self.counts = _unpack(row.get("counts") or b"\1")
-        self.seated = _unpack(row.get("seated") or b"\1").reshape(SAMPLES, -1)
+        self.counts = _narrow(row.get("counts") or b"\1")
+        self.seated = _narrow(row.get("seated") or b"\1").reshape(SAMPLES, -1)
         # Sorted by a hash of the pair, to find cells at once; pairs themselves are compared.
         mixed = _mixed(self.cell_words, self.cell_contexts)
-        self.order = np.argsort(mixed, kind="stable")
+        self.order = np.argsort(mixed)
         self.mixed = mixed[self.order]
 
     def of_names(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -505,12 +623,15 @@ class Chances:
 
     def of_cells(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts, and SAMPLES x cells tables."""
-        at, met = _find(self.mixed, _mixed(words, contexts))
+        wanted = _mixed(words, contexts)
+        order = np.argsort(wanted)  # in order they are found sooner
+        at, met = np.empty(len(wanted), np.int64), np.empty(len(wanted), bool)
+        at[order], met[order] = _find(self.mixed, wanted[order])
         if met.any():
             at = self.order[at]
             met &= (self.cell_words[at] == words) & (self.cell_contexts[at] == contexts)
-        counts = np.zeros(len(words), np.int64)
-        seated = np.zeros((SAMPLES, len(words)), np.int64)
+        counts = np.zeros(len(words), self.counts.dtype)
+        seated = np.zeros((SAMPLES, len(words)), self.seated.dtype)
         counts[met] = self.counts[at[met]]
         seated[:, met] = self.seated[:, at[met]]
         return counts, seated
@@ -561,14 +682,14 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
                 batch = large.slice(at, SLICE)
                 source = task * (1 << 32) + number
                 number += 1
-                hashes, place, document, before = tokens(batch.column("text").to_pylist())
+                hashes, place, document, before = tokens(batch.column("text"))
                 names, rank = _by_owner(hashes, buckets)
                 place, before, end = rank[place], rank[before], rank[:1]
                 rows = [
                     _note(owner, "names", source, names[run].tobytes())
                     for owner, run in _runs(_bucket_of(names, buckets))
                 ]
-                keys = np.unique(place * len(names) + before)
+                keys = _different(place * len(names) + before)
                 words, contexts = keys // len(names), keys % len(names)
                 of = _cell_bucket(names[words], names[contexts], hot, buckets)
                 order = np.argsort(of, kind="stable")
@@ -630,7 +751,7 @@ def score_documents(documents: DataFrame, seed: int = 11) -> DataFrame:
         (seen, customers), tables = together("names", "a", 2), together("names", "b", 2 * SAMPLES)
         [counts], seated = together("cells", "a", 1), together("cells", "b", SAMPLES)
         keys = place * len(seen) + np.r_[end, place[:-1]]
-        keys, cell = np.unique(keys, return_inverse=True)
+        keys, cell = _numbered(keys, len(seen) ** 2)
         words, contexts = keys // len(seen), keys % len(seen)
         # Answers come in order of bucket.
         back = np.empty(len(of), np.int64)
