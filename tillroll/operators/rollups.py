@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalars import region_group
@@ -24,6 +24,38 @@ def cube_sets(keys: Sequence[str]) -> list[tuple[str, ...]]:
     return [c for n in range(len(keys), -1, -1) for c in combinations(keys, n)]
 
 
+def _first_of(
+    rows: DataFrame, name: str, keys: Sequence[str], sets: Sequence[Sequence[str]]
+) -> DataFrame:
+    """With a column for each of ``sets``: 1 in one of the rows that share name and set, else 0.
+
+    In a group of the set they add up to its number of different names. The rows are dealt by
+    name once; sets that are the first keys of one order share a sort."""
+    orders: list[tuple[str, ...]] = []
+    columns = {}
+    for n, chosen in sorted(enumerate(sets), key=lambda s: -len(s[1])):
+        order = next((o for o in orders if set(o[: len(chosen)]) == set(chosen)), None)
+        if order is None:
+            leading = {o[0] for o in orders if o}  # a key that leads no order yet goes first
+            first = sorted(chosen, key=lambda k: k in leading)
+            order = (*first, *(k for k in keys if k not in chosen))
+            orders.append(order)
+        at = len(chosen)
+        within = Window.partitionBy(name, *order[:at]).orderBy(*order[at:], name)
+        marked = (F.row_number().over(within) == 1) & F.col(name).isNotNull()
+        columns[f"_first{n}"] = marked.cast("long")
+    return rows.repartition(name).withColumns(columns)
+
+
+def _of_level(keys: Sequence[str], sets: Sequence[Sequence[str]]) -> Column:
+    """The sum of the column that belongs to the level of a row."""
+    found = F.lit(0).cast("long")
+    for n, chosen in enumerate(sets):
+        level = sum(1 << i for i, k in enumerate(reversed(keys)) if k not in chosen)
+        found = F.when(F.col(LEVEL) == level, F.col(f"_first{n}")).otherwise(found)
+    return found
+
+
 def sales_by_sets(
     lines: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]]
 ) -> DataFrame:
@@ -32,20 +64,28 @@ def sales_by_sets(
     ``level`` has a bit for each key, the first the highest, set where the key is summed over; it
     tells a null that was in the data from one that stands for all. The lines are shuffled once,
     to one row for each order and combination of keys. Distinct counts do not add up over levels,
-    so these rows, and for the customers one row for each combination, are what is expanded.
+    but marks do: each order is marked once for every group that it is in, each customer as well.
+    So what is expanded is one row for each combination of keys.
     """
     order_rows = per_order(lines, *keys)
+    customer_rows = order_rows.groupBy(*keys, "Customer ID").agg(F.lit(1).alias("_one"))
     grouped = [list(s) for s in sets]
-    by_orders = order_rows.groupingSets(grouped, *keys).agg(
-        F.grouping_id().alias(LEVEL),
-        total("Revenue").alias("revenue"),
-        F.count_distinct("Invoice").alias("orders"),
+    sums = [F.sum(f"_first{n}").alias(f"_first{n}") for n in range(len(sets))]
+    by_orders = (
+        _first_of(order_rows, "Invoice", keys, sets)
+        .groupBy(*keys)
+        .agg(F.sum("Revenue").alias("Revenue"), *sums)
+        .groupingSets(grouped, *keys)
+        .agg(F.grouping_id().alias(LEVEL), total("Revenue").alias("revenue"), *sums)
+        .withColumn("orders", _of_level(keys, sets))
     )
     by_customers = (
-        order_rows.groupBy(*keys, "Customer ID")
-        .agg(F.lit(1).alias("_one"))
+        _first_of(customer_rows, "Customer ID", keys, sets)
+        .groupBy(*keys)
+        .agg(*sums)
         .groupingSets(grouped, *keys)
-        .agg(F.grouping_id().alias(LEVEL), F.count_distinct("Customer ID").alias("customers"))
+        .agg(F.grouping_id().alias(LEVEL), *sums)
+        .withColumn("customers", _of_level(keys, sets))
     )
     same = F.col(LEVEL) == F.col("_level")
     for key in keys:
